@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Rounded quotient, NULL on a zero denominator. Decimal inputs stay exact."""
-    return F.round(F.try_divide(numerator, denominator), digits)
+    """Quotient rounded half away from zero, NULL on a zero denominator.
+
+    Sums of sums carry a very wide decimal type, for which Spark would keep six
+    digits of the quotient and round twice. These types keep fourteen.
+    """
+    quotient = F.try_divide(numerator.cast("decimal(24,4)"), denominator.cast("decimal(22,4)"))
+    return F.round(quotient, digits)
 
 
 def safe_divide(numerator: Column, denominator: Column, default: float = 0.0) -> Column:
