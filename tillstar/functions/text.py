@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Every character that counts as blank when a text is stripped.
 BLANKS = (
@@ -109,19 +110,17 @@ def hash_key(*fields: Column) -> Column:
     return F.left(F.sha2(F.concat_ws("|", *texts), 256), F.lit(16))
 
 
-@F.pandas_udf("string")
-def _nfc(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
-
-
 def clean_string(text: Column) -> Column:
     """Strip, compose to NFC, empty to NULL.
 
-    ASCII text is already composed, so only other rows need the Python step.
-    Spark evaluates it for a whole batch once any column asks for it.
+    Spark has no NFC function, so the composition runs in Arrow batches. It is
+    defined here, not at module level, to travel to executors by value.
     """
-    stripped = strip(text)
-    return F.nullif(_nfc(stripped), F.lit(""))
+    @F.pandas_udf(T.StringType())
+    def nfc(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
+
+    return F.nullif(nfc(strip(text)), F.lit(""))
 
 
 def clean_ascii_string(text: Column) -> Column:
