@@ -11,7 +11,7 @@ from tillstar.functions import dates, numbers, text
 from tillstar.operators import clean, dedup, dimensions, facts, features, quality, quantiles, scd2
 from tillstar.plans.load import load_all
 from tillstar.schemas import TABLES
-from tillstar.session import materialize, scratch_root
+from tillstar.session import materialize, scratch_root, store_rows
 from tillstar.sources import commerce
 from tillstar.sources.files import extraction_metrics
 from tillstar.sources.store import Store, table_counts
@@ -118,16 +118,32 @@ PLACES = '"Customer Name", "Segment", "Country", "City", "State", "Region", "Sub
 
 # --- stages ------------------------------------------------------------------
 
-raw = commerce.blemished_order_lines
+_STORED: dict[tuple[str, str, str], tuple[str, object]] = {}
+
+
+def stored(name: str, build):
+    """``build`` as a layer that is written once per application and folder."""
+    def get(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, folder, name)
+        if key not in _STORED:
+            df = build(spark, folder)
+            _STORED[key] = (store_rows(df), df.schema)
+        path, schema = _STORED[key]
+        return spark.read.schema(schema).parquet(path)
+
+    return get
+
+
+raw = stored("bronze", commerce.blemished_order_lines)
 trimmed = lambda s, d: clean.trim_whitespace(raw(s, d))
 typed = lambda s, d: clean.fix_data_types(trimmed(s, d))
 complete = lambda s, d: clean.handle_missing_values(typed(s, d))
 cleaned = lambda s, d: clean.clean(raw(s, d))
-silver = lambda s, d: features.transform(materialize(cleaned(s, d)))
-
-
-def intact_silver(spark: SparkSession, folder: str) -> DataFrame:
-    return features.transform(materialize(clean.fix_data_types(commerce.raw_order_lines(spark, folder))))
+stored_clean = stored("clean", cleaned)
+fresh_silver = lambda s, d: features.transform(stored_clean(s, d))
+silver = stored("silver", fresh_silver)
+intact_silver = stored("intact silver", lambda s, d: features.engineer_features(features.normalize_regions(
+    features.normalize_categories(clean.fix_data_types(commerce.raw_order_lines(s, d))))))
 
 
 query("x1_trim_whitespace", trimmed, upto("trimmed", "SELECT * FROM trimmed"))
@@ -148,7 +164,7 @@ query("f1_valid_records", lambda s, d: clean.remove_invalid_records(typed(s, d))
 query("f1_f2_f3_w10_clean", cleaned, upto("cleaned", f"SELECT {KEEP}, {PLACES}, {NUMBERS} FROM cleaned"))
 query("x5_to_x10_canonical_names", lambda s, d: features.normalize_regions(features.normalize_categories(cleaned(s, d))),
       upto("named", f"SELECT {KEEP}, {PLACES}, {NUMBERS} FROM named"))
-query("q10_x11_to_x14_transform", silver, upto("silver", f"""SELECT {KEEP}, {PLACES}, {NUMBERS}, is_outlier,
+query("q10_x11_to_x14_transform", fresh_silver, upto("silver", f"""SELECT {KEEP}, {PLACES}, {NUMBERS}, is_outlier,
   {dollars('revenue_c')} AS "Revenue", margin AS "Profit_Margin", days AS "Order_to_Ship_Days",
   CAST(year(od) AS INTEGER) AS "Order_Year", CAST(quarter(od) AS INTEGER) AS "Order_Quarter", CAST(month(od) AS INTEGER) AS "Order_Month",
   monthname(od) AS "Order_Month_Name", CAST(isodow(od) - 1 AS INTEGER) AS "Order_Day_of_Week", dayname(od) AS "Order_Day_Name" FROM silver"""))
@@ -233,6 +249,10 @@ def empty(spark: SparkSession, table: str) -> DataFrame:
     return spark.createDataFrame([], TABLES[table])
 
 
+def good_dims(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return dims_from(intact_silver(spark, folder))
+
+
 def unstamped(df: DataFrame) -> DataFrame:
     return df.drop("created_at", "updated_at")
 
@@ -276,7 +296,7 @@ PRODUCTS = """products AS (SELECT row_number() OVER (ORDER BY product_id) AS pro
   LEFT JOIN categories c ON c.category_name = f.category AND c.sub_category = f.sub_category)"""
 DIMS = tuple(cte.format(source="silver") for cte in (CATEGORIES, REGIONS, CUSTOMERS, PRODUCTS))
 
-query("l2_category_dimension", lambda s, d: unstamped(dimensions.new_categories(empty(s, "dim_category"), materialize(silver(s, d)))),
+query("l2_category_dimension", lambda s, d: unstamped(dimensions.new_categories(empty(s, "dim_category"), silver(s, d))),
       upto("silver", "SELECT * FROM categories", DIMS[0]))
 query("l3_region_dimension", lambda s, d: unstamped(dimensions.new_regions(empty(s, "dim_region"), silver(s, d))),
       upto("silver", "SELECT * FROM regions", DIMS[1]))
@@ -285,14 +305,14 @@ query("l4_customer_dimension_first_load", lambda s, d: unstamped(scd2.apply_cust
 
 
 def _products(spark: SparkSession, folder: str) -> DataFrame:
-    batch = materialize(silver(spark, folder))
+    batch = silver(spark, folder)
     categories = dimensions.new_categories(empty(spark, "dim_category"), batch)
     return unstamped(dimensions.new_products(empty(spark, "dim_product"), batch, categories))
 
 
 query("l6_product_dimension", _products, upto("silver", "SELECT * FROM products", DIMS[0], DIMS[3]))
 query("x23_category_code_collisions", lambda s, d: quality.category_code_collisions(
-    dimensions.new_categories(empty(s, "dim_category"), materialize(silver(s, d)))),
+    dimensions.new_categories(empty(s, "dim_category"), silver(s, d))),
     upto("silver", "SELECT category_id, COUNT(*) AS copies FROM categories GROUP BY category_id HAVING COUNT(*) > 1", DIMS[0]))
 
 SPLIT = "1998-07-01"
@@ -322,8 +342,8 @@ def two_batches(spark: SparkSession, folder: str) -> DataFrame:
 CHANGES = """changes AS (SELECT CAST(o_custkey AS VARCHAR) AS customer_id, c_name AS customer_name, o_orderpriority AS segment,
   CAST(o_orderdate AS DATE) AS order_date, o_orderkey FROM orders JOIN customer ON c_custkey = o_custkey)"""
 HISTORY = """daily AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY customer_id, order_date ORDER BY o_orderkey DESC) = 1),
-starts AS (SELECT * FROM daily QUALIFY lag(segment) OVER w IS DISTINCT FROM segment OR lag(customer_name) OVER w IS DISTINCT FROM customer_name
-  WINDOW w AS (PARTITION BY customer_id ORDER BY order_date)),
+starts AS (SELECT * FROM (SELECT *, lag(segment) OVER w AS s0, lag(customer_name) OVER w AS n0 FROM daily
+  WINDOW w AS (PARTITION BY customer_id ORDER BY order_date)) AS g WHERE s0 IS DISTINCT FROM segment OR n0 IS DISTINCT FROM customer_name),
 history AS (SELECT customer_id, customer_name, segment, order_date AS effective_date, CAST(lead(order_date) OVER w - 1 AS DATE) AS expiry_date,
   lead(order_date) OVER w IS NULL AS is_current FROM starts WINDOW w AS (PARTITION BY customer_id ORDER BY order_date))"""
 BATCHES = f"""old AS (SELECT * FROM changes WHERE order_date < DATE '{SPLIT}'
@@ -370,7 +390,7 @@ FACT_SHOWN = ("order_id", "order_date_key", "ship_date_key", "customer_key", "pr
 
 
 def loaded_facts(spark: SparkSession, folder: str) -> DataFrame:
-    batch = materialize(silver(spark, folder))
+    batch = silver(spark, folder)
     return facts.fact_rows(facts.resolve_keys(batch, dims_from(batch))).select(*FACT_SHOWN)
 
 
@@ -398,7 +418,7 @@ resolved AS (SELECT s."Row ID" AS line_id, u.customer_key, p.product_key, c.cate
 
 
 def resolved_lines(spark: SparkSession, folder: str) -> DataFrame:
-    dims = dims_from(materialize(intact_silver(spark, folder)))
+    dims = good_dims(spark, folder)
     return facts.resolve_keys(silver(spark, folder), dims).select(
         F.col("Row ID").alias("line_id"), "customer_key", "product_key", "category_key", "region_key", "reject_reason")
 
@@ -407,8 +427,13 @@ query("j5_j6_key_resolution", resolved_lines, upto("silver", "SELECT * FROM reso
 query("j7_rejected_lines", lambda s, d: facts.rejected_lines(resolved_lines(s, d)).groupBy("reject_reason").agg(F.count(F.lit(1)).alias("lines")),
       upto("silver", f"SELECT reject_reason, {big('COUNT(*)')} AS lines FROM resolved WHERE reject_reason IS NOT NULL GROUP BY reject_reason",
            *GOOD_DIMS, FALLBACK))
-query("q7_j9_referential_integrity", lambda s, d: plain(quality.referential_integrity(
-    materialize(silver(s, d)), *[dims_from(materialize(intact_silver(s, d)))[n] for n in ("dim_customer", "dim_product", "dim_region")])),
+def integrity(spark: SparkSession, folder: str) -> DataFrame:
+    dims = good_dims(spark, folder)
+    return plain(quality.referential_integrity(
+        silver(spark, folder), dims["dim_customer"], dims["dim_product"], dims["dim_region"]))
+
+
+query("q7_j9_referential_integrity", integrity,
     upto("silver", f"""SELECT rule_name, n = 0 AS passed, 'critical' AS severity, {big('n')} AS affected_rows,
   {big('(SELECT COUNT(*) FROM silver)')} AS total_rows FROM (
   SELECT 'ref_integrity_customer_id' AS rule_name, COUNT(DISTINCT "Customer ID") FILTER ("Customer ID" NOT IN (SELECT customer_id FROM customers)) AS n FROM silver
@@ -423,7 +448,7 @@ def load_counts(spark: SparkSession, folder: str) -> DataFrame:
 
     store = Store(spark, f"{scratch_root(spark)}/store-{uuid.uuid4().hex}")
     store.create_tables()
-    batch = materialize(silver(spark, folder))
+    batch = silver(spark, folder)
     load_all(store, batch, idempotent=True)
     load_all(store, batch, idempotent=True)
     return table_counts(store.tables())

@@ -8,21 +8,36 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_order(df: DataFrame, row_id: str = "Row ID") -> list[Column]:
+def numeric_id(text: Column) -> Column:
+    """Number of an all-digit id, else NULL.
+
+    Tested by pattern first: a failing ``try_cast`` builds an exception per row.
+    """
+    return F.when(text.rlike("^[0-9]{1,18}$"), text.try_cast("bigint"))
+
+
+Order = Sequence[tuple[Column, bool]]  # expression and whether it descends; NULL comes last
+
+
+def row_order(df: DataFrame, row_id: str = "Row ID") -> Order:
     """File order: numeric row ids by number, others by text."""
     if row_id not in df.columns:
-        return [F.col(f"`{c}`") for c in df.columns]
-    return [F.col(f"`{row_id}`").try_cast("bigint").asc_nulls_last(), F.col(f"`{row_id}`").asc_nulls_last()]
+        return [(F.col(f"`{c}`"), False) for c in df.columns]
+    return [(numeric_id(F.col(f"`{row_id}`")), False), (F.col(f"`{row_id}`"), False)]
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     """One row per key, the first in ``order``.
 
     Spark keeps only the first row per key of each map task before the shuffle
     (WindowGroupLimit), so a key with very many rows does not meet in one task.
+    The sort columns are computed once per row, not in every comparison.
     """
-    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*order)
-    return df.withColumn("_first", F.row_number().over(window)).filter("_first = 1").drop("_first")
+    names = [f"_order_{i}" for i in range(len(order))]
+    ordered = df.withColumns({n: expression for n, (expression, _) in zip(names, order)})
+    by = [F.col(n).desc_nulls_last() if down else F.col(n).asc_nulls_last() for n, (_, down) in zip(names, order)]
+    window = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*by)
+    return ordered.withColumn("_first", F.row_number().over(window)).filter("_first = 1").drop("_first", *names)
 
 
 def remove_duplicates(df: DataFrame, keys: Sequence[str] = ("Order ID", "Product ID")) -> DataFrame:

@@ -81,26 +81,16 @@ PLACE = ("country", "state", "city", "postal_code")
 
 def new_regions(existing: DataFrame, batch: DataFrame) -> DataFrame:
     """New places; the region label of the first row of a place wins."""
-    ordered = batch.withColumn("_row", F.struct(*row_order_values(batch)))
     code = F.element_at(F.split(F.col("Postal Code").cast("string"), r"\."), 1)
-    places = ordered.select(
+    rows = batch.withColumn("_code", F.coalesce(code, F.lit("Unknown"))).na.drop(subset=["Country", "State", "City"])
+    first = first_per_key(rows, ("Country", "State", "City", "_code"), row_order(batch)).select(
         F.col("Country").alias("country"), F.col("State").alias("state"), F.col("City").alias("city"),
-        F.coalesce(code, F.lit("Unknown")).alias("postal_code"), F.col("Region").alias("region"), "_row",
-    ).na.drop(subset=["country", "state", "city"])
-    first = first_per_key(places, PLACE, [F.col("_row")]).drop("_row")
+        F.col("_code").alias("postal_code"), F.col("Region").alias("region"))
     known = existing.select("country", "state", "city", F.coalesce("postal_code", F.lit("Unknown")).alias("postal_code"))
     unseen = first.join(known, list(PLACE), "left_anti")
     return _stamped(assign_keys(unseen, "region_key", PLACE, existing), DIM_REGION)
 
 
-def row_order_values(batch: DataFrame) -> list[Column]:
-    """File order as plain values; a row id without a number sorts last."""
-    if "Row ID" not in batch.columns:
-        return [F.col(f"`{c}`") for c in batch.columns]
-    number = F.col("Row ID").try_cast("bigint")
-    return [number.isNull().alias("a"), number.alias("b"), F.col("Row ID").alias("c")]
-
-
 def new_products(existing: DataFrame, batch: DataFrame, categories: DataFrame) -> DataFrame:
     """New products from their first row; the category is NULL if unknown."""
     rows = batch.na.drop(subset=["Product ID", "Product Name"])

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.operators.dedup import first_per_key
+from tillstar.operators.dedup import Order, first_per_key, numeric_id
 from tillstar.operators.dimensions import assign_keys
 from tillstar.session import materialize
 
@@ -17,7 +17,7 @@ def _differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, [~l.eqNullSafe(r) for l, r in zip(left, right)])
 
 
-def scd2_history(changes: DataFrame, key: str, attributes: Sequence[str], date: str, order: Sequence[Column]) -> DataFrame:
+def scd2_history(changes: DataFrame, key: str, attributes: Sequence[str], date: str, order: Order) -> DataFrame:
     """Every change in date order as a version.
 
     The last row per key and day counts (``order`` breaks ties, last wins). A key
@@ -36,7 +36,7 @@ def scd2_history(changes: DataFrame, key: str, attributes: Sequence[str], date:
 
 
 def scd2_apply_batch(existing: DataFrame, batch: DataFrame, key: str, attributes: Sequence[str], date: str,
-                     order: Sequence[Column], surrogate: str) -> tuple[DataFrame, DataFrame]:
+                     order: Order, surrogate: str) -> tuple[DataFrame, DataFrame]:
     """Apply the latest row per key of ``batch`` to the stored versions.
 
     A new key gets a current version from its date. A changed key closes its
@@ -77,11 +77,11 @@ def customer_changes(batch: DataFrame) -> DataFrame:
         F.col("Segment").alias("segment"), F.col("Order Date").alias("order_date"), *row)
 
 
-def latest_first(changes: DataFrame) -> list[Column]:
+def latest_first(changes: DataFrame) -> Order:
     """Latest date first; among equals the last row of the file."""
-    order = [F.col("order_date").desc_nulls_last()]
+    order = [(F.col("order_date"), True)]
     if "row_id" in changes.columns:
-        order += [F.col("row_id").try_cast("bigint").desc_nulls_first(), F.col("row_id").desc()]
+        order += [(numeric_id(F.col("row_id")), True), (F.col("row_id"), True)]
     return order
 
 

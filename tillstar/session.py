@@ -40,13 +40,17 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def store_rows(df: DataFrame) -> str:
+    """Write ``df`` as Parquet to the scratch folder and return the path."""
+    path = f"{scratch_root(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the scratch folder and read it back.
+    """:func:`store_rows`, read back.
 
     Used where a result feeds several jobs that must see the very same rows: the
     files survive the loss of an executor, and later readers prune columns.
     """
-    spark = df.sparkSession
-    path = f"{scratch_root(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(store_rows(df))
