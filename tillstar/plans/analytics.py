@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.numbers import ratio
@@ -169,12 +169,28 @@ def profitability_view(star: Star) -> DataFrame:
         F.col("average_discount").alias("average_discount_rate"))
 
 
+def count_orders_and_customers(star: Star, orders: DataFrame, keys: tuple[str, ...], sums: dict[str, str]) -> DataFrame:
+    """Sums per ``keys`` with distinct orders and customers, from order totals.
+
+    Where an order has one customer, two plain aggregations replace the two
+    distinct counts, which would repeat every order row.
+    """
+    if star.order_fixes("customer_key", *keys):
+        customers = orders.groupBy(*keys, "customer_key").agg(
+            *[F.sum(m).alias(m) for m in sums], F.count(F.lit(1)).alias("_orders"))
+        counts = [F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"), F.count(F.lit(1)).alias("total_customers")]
+        rows = customers
+    else:
+        counts = [F.count_distinct("order_id").alias("total_orders"), F.count_distinct("customer_key").alias("total_customers")]
+        rows = orders
+    return rows.groupBy(*keys).agg(*[F.sum(m).alias(name) for m, name in sums.items()], *counts)
+
+
 def get_kpis(star: Star) -> DataFrame:
     """One row of headline figures; zeros for an empty star."""
-    orders = star.order_totals(("customer_key",), _MONEY_UNITS)
-    totals = orders.agg(
-        _total("sales", "gross_sales"), _total("revenue", "net_revenue"), _total("profit"), _total("quantity"),
-        F.count_distinct("order_id").alias("total_orders"), F.count_distinct("customer_key").alias("total_customers"))
+    totals = count_orders_and_customers(
+        star, star.order_totals(("customer_key",), _MONEY_UNITS), (),
+        {"sales": "gross_sales", "revenue": "net_revenue", "profit": "total_profit", "quantity": "total_quantity"})
     kpis = totals.withColumn("average_order_value", order_value("net_revenue")).withColumn(
         "net_profit_margin", margin(revenue="net_revenue"))
     return kpis.select(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in kpis.columns])
@@ -196,33 +212,32 @@ def _key(day: dt.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
-def in_period(start: dt.date | None, end: dt.date | None, key: str = "order_date_key") -> Column:
-    """Inclusive date range on an integer date key."""
+def in_period(start: dt.date | None, end: dt.date | None) -> Column:
+    """Inclusive range of ``order_date_key``; ``order_year`` prunes partitions."""
     if start and end and start > end:
         raise ValueError(f"start {start} is after end {end}")
-    return F.col(key).between(_key(start) if start else 0, _key(end) if end else 99_999_999)
+    low, high = _key(start) if start else 0, _key(end) if end else 99_999_999
+    years = F.col("order_year").between(low // 10_000, high // 10_000)
+    return F.col("order_date_key").between(low, high) & years
 
 
 def sales_summary(star: Star, start: dt.date | None = None, end: dt.date | None = None,
                   region: str | None = None) -> DataFrame:
     """Totals of a period and region as one row."""
-    attributes = ("order_date_key", "customer_key", "region")
-    rows = _equals(star.order_totals(attributes, ("revenue", "profit", "quantity")), region=region)
-    zero = F.lit(0).cast("decimal(12,2)")
-    return rows.filter(in_period(start, end)).agg(
-        F.coalesce(F.sum("revenue"), zero).alias("total_revenue"),
-        F.coalesce(F.sum("profit"), zero).alias("total_profit"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_key").alias("total_customers"),
-        F.coalesce(F.sum("quantity"), F.lit(0)).alias("total_units_sold"),
-    ).withColumn("avg_order_value", order_value()).withColumn("profit_margin", margin())
+    attributes = ("order_date_key", "order_year", "customer_key", "region")
+    rows = _equals(star.order_totals(attributes, ("revenue", "profit", "quantity")), region=region).filter(in_period(start, end))
+    totals = count_orders_and_customers(
+        star, rows, (), {"revenue": "total_revenue", "profit": "total_profit", "quantity": "total_units_sold"})
+    totals = totals.withColumn("avg_order_value", order_value()).withColumn("profit_margin", margin())
+    zeros = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("total_revenue", "total_profit", "total_units_sold")}
+    return totals.withColumns(zeros)
 
 
 def monthly_summary(star: Star, year: int, month: int) -> DataFrame:
     """Four (metric_name, metric_value) rows of one month."""
     first = year * 10000 + month * 100
-    rows = star.order_totals(("order_date_key",), ("revenue", "profit")).filter(
-        F.col("order_date_key").between(first + 1, first + 31))
+    in_month = F.col("order_date_key").between(first + 1, first + 31) & (F.col("order_year") == year)
+    rows = star.order_totals(("order_date_key", "order_year"), ("revenue", "profit")).filter(in_month)
     zero = F.lit(0).cast("decimal(12,2)")
     totals = rows.agg(
         F.coalesce(F.sum("revenue"), zero).alias("revenue"),
@@ -236,8 +251,6 @@ def monthly_summary(star: Star, year: int, month: int) -> DataFrame:
 
 def monthly_growth(star: Star) -> DataFrame:
     """Growth against the previous month that has sales."""
-    from pyspark.sql import Window
-
     months = star.lines("year", "month", "revenue").groupBy("year", "month").agg(_total("revenue", "monthly_revenue"))
     prior = F.lag("monthly_revenue").over(Window.orderBy("year", "month"))
     change = F.col("monthly_revenue") - F.col("prior_month_revenue")

@@ -39,6 +39,10 @@ class Star(ABC):
     def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
         """``order_id``, ``attributes``, each measure summed, and ``line_count``."""
 
+    @abstractmethod
+    def order_fixes(self, *attributes: str) -> bool:
+        """True if an order can have only one combination of ``attributes``."""
+
     @abstractmethod
     def dimension(self, name: str) -> DataFrame:
         """A dimension table by its name, such as ``dim_customer``."""
@@ -74,17 +78,24 @@ class WarehouseStar(Star):
         if wanted & set(_DATE):
             days = self.tables["dim_date"].select("date_key", *_DATE)
             df = join_date(df, days)
-        if "ship_date" in wanted:
+        if wanted & {"ship_date", "ship_day"}:
             ships = self.tables["dim_date"].select(F.col("date_key").alias("_ship_key"), F.col("full_date").alias("ship_date"))
             df = df.join(ships, df["ship_date_key"] == ships["_ship_key"])
         for name, (key, attributes) in _DIMENSIONS.items():
             used = [a for a in attributes if a in wanted]
             if used:
                 df = df.join(self.tables[name].select(key, *used), key)
+        derived = {"discount_amount": F.col("sales") * F.col("discount")}
+        if "ship_day" in wanted:
+            derived["ship_day"] = F.unix_date("ship_date")
+        df = df.withColumns(derived)
         if where is not None:
             df = df.filter(where)
         return df.select(*columns)
 
+    def order_fixes(self, *attributes: str) -> bool:
+        return not attributes
+
     def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
         return self.lines("order_id", *attributes, *measures).groupBy("order_id", *attributes).agg(*_sums(measures))
 
@@ -114,6 +125,9 @@ class SourceStar(Star):
                 F.col("p_type").alias("category_name"), F.col("p_brand").alias("sub_category")).distinct()
         raise KeyError(name)
 
+    def order_fixes(self, *attributes: str) -> bool:
+        return all(commerce.is_order_level(a) for a in attributes)
+
     def lines(self, *columns: str, where: Column | None = None) -> DataFrame:
         df = commerce.order_lines(self.spark, self.folder, *columns)
         return df if where is None else df.filter(where)
@@ -139,3 +153,51 @@ class SourceStar(Star):
             commerce.expression("order_id"), *line_level, *[commerce.expression(c) for c in order_level],
             *measures, "line_count",
         ).select("order_id", *attributes, *measures, "line_count")
+
+
+class SlicedStar(Star):
+    """A star limited to given attribute values, such as one region of a role."""
+
+    def __init__(self, star: Star, **values) -> None:
+        self.star = star
+        self.spark = star.spark
+        self.values = {name: value for name, value in values.items() if value is not None}
+
+    def _limited(self, df: DataFrame) -> DataFrame:
+        for name, value in self.values.items():
+            df = df.filter(F.col(name) == value)
+        return df
+
+    def _with(self, columns: Sequence[str]) -> list[str]:
+        return [*columns, *[name for name in self.values if name not in columns]]
+
+    def lines(self, *columns: str, where: Column | None = None) -> DataFrame:
+        df = self._limited(self.star.lines(*self._with(columns)))
+        return (df if where is None else df.filter(where)).select(*columns)
+
+    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
+        df = self._limited(self.star.order_totals(self._with(attributes), measures))
+        return df.select("order_id", *attributes, *measures, "line_count")
+
+    def order_fixes(self, *attributes: str) -> bool:
+        return self.star.order_fixes(*attributes)
+
+    def dimension(self, name: str) -> DataFrame:
+        return self.star.dimension(name)
+
+
+# The region each regional manager may see.
+ROLE_REGIONS = {
+    "East Manager": "East",
+    "West Manager": "West",
+    "Central Manager": "Central",
+    "South Manager": "South",
+}
+
+
+def secured(star: Star, role: str, roles: dict[str, str] | None = None) -> Star:
+    """The part of the star a role may see; an unknown role sees nothing."""
+    roles = ROLE_REGIONS if roles is None else roles
+    if role not in roles:
+        raise PermissionError(f"no such role: {role}")
+    return SlicedStar(star, region=roles[role])

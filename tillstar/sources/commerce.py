@@ -82,9 +82,12 @@ ATTRIBUTES: dict[str, tuple[tuple[str, ...], callable]] = {
     "profit_margin": (("part",), _margin),
     "ship_date": ((), ship_date),
     "ship_date_key": ((), lambda: dates.date_key(ship_date())),
+    "ship_day": ((), lambda: F.unix_date(ship_date())),
+    "discount_amount": ((), lambda: _sales() * _discount()),
     "ship_mode": (("orders",), lambda: F.col("o_orderpriority")),
     "order_date_key": (("orders",), lambda: dates.date_key(order_date())),
     "full_date": (("orders",), order_date),
+    "order_year": (("orders",), lambda: F.year(order_date())),
     "year": (("orders",), lambda: F.year(order_date())),
     "quarter": (("orders",), lambda: F.quarter(order_date())),
     "month": (("orders",), lambda: F.month(order_date())),
