@@ -43,7 +43,7 @@ COUNTRY_NAMES = {
 
 
 # Texts of one line that begin and end with a visible ASCII character.
-_TIDY = r"^[\x21-\x7e](.*[\x21-\x7e])?$"
+_TIDY = r"^[\x21-\x7e](.*[\x21-\x7e])?\z"
 
 
 def strip(text: Column) -> Column:

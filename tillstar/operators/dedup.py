@@ -13,7 +13,7 @@ def numeric_id(text: Column) -> Column:
 
     Tested by pattern first: a failing ``try_cast`` builds an exception per row.
     """
-    return F.when(text.rlike("^[0-9]{1,18}$"), text.try_cast("bigint"))
+    return F.when(text.rlike(r"^[0-9]{1,18}\z"), text.try_cast("bigint"))
 
 
 Order = Sequence[tuple[Column, bool]]  # expression and whether it descends; NULL comes last
