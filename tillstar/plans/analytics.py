@@ -91,15 +91,11 @@ _PRODUCT = ("product_id", "product_name", "category_name", "sub_category")
 
 
 def product_totals(star: Star, category: str | None = None) -> DataFrame:
-    lines = star.lines(*_PRODUCT, *_MONEY_UNITS, "discount")
-    return (
-        _equals(lines, category_name=category)
-        .groupBy(*_PRODUCT)
-        .agg(*[_total(m) for m in _MONEY_UNITS],
-             F.sum("discount").alias("discount_sum"), F.count("discount").alias("discount_count"),
-             F.sum(F.col("sales") - F.col("revenue")).alias("total_discounts_granted"))
-        .withColumn("average_discount", ratio(F.col("discount_sum"), F.col("discount_count"), 4))
-    )
+    totals = _equals(star.totals(_PRODUCT, (*_MONEY_UNITS, "discount")), category_name=category)
+    return totals.withColumnsRenamed({m: f"total_{m}" for m in _MONEY_UNITS}).withColumns({
+        "total_discounts_granted": F.col("total_sales") - F.col("total_revenue"),
+        "average_discount": ratio(F.col("discount"), F.col("line_count"), 4),
+    })
 
 
 def top_products(star: Star, limit: int = 10, category: str | None = None) -> DataFrame:
@@ -150,10 +146,10 @@ _BREAKDOWNS = {
 
 def profitability_analysis(star: Star, by: str = "category") -> DataFrame:
     keys = _BREAKDOWNS.get(by, ("category_name", "ship_mode"))
-    if by == "product":
-        rows = star.lines(*keys, *_MONEY)
+    if star.order_fixes(*keys):
+        rows = star.order_totals(keys, _MONEY)  # joins orders to their totals, not to every line
     else:
-        rows = star.order_totals(keys, _MONEY)
+        rows = star.totals(keys, _MONEY)
     return (
         rows.groupBy(*keys).agg(*[_total(m) for m in _MONEY])
         .withColumn("profit_margin", margin())
@@ -198,9 +194,9 @@ def get_kpis(star: Star) -> DataFrame:
 
 def discount_impact(star: Star) -> DataFrame:
     return (
-        star.lines("discount", *_MONEY_UNITS).groupBy(F.col("discount").alias("discount_rate"))
-        .agg(F.count(F.lit(1)).alias("transaction_count"), *[_total(m) for m in _MONEY],
-             _total("quantity", "total_units_sold"))
+        star.totals(("discount",), _MONEY_UNITS)
+        .withColumnsRenamed({**{m: f"total_{m}" for m in _MONEY}, "discount": "discount_rate",
+                             "line_count": "transaction_count", "quantity": "total_units_sold"})
         .withColumn("profit_margin", margin())
         .select("discount_rate", "transaction_count", "total_sales", "total_revenue", "total_profit",
                 "profit_margin", "total_units_sold")
@@ -251,7 +247,7 @@ def monthly_summary(star: Star, year: int, month: int) -> DataFrame:
 
 def monthly_growth(star: Star) -> DataFrame:
     """Growth against the previous month that has sales."""
-    months = star.lines("year", "month", "revenue").groupBy("year", "month").agg(_total("revenue", "monthly_revenue"))
+    months = star.order_totals(("year", "month"), ("revenue",)).groupBy("year", "month").agg(_total("revenue", "monthly_revenue"))
     prior = F.lag("monthly_revenue").over(Window.orderBy("year", "month"))
     change = F.col("monthly_revenue") - F.col("prior_month_revenue")
     return (
@@ -264,5 +260,5 @@ def monthly_growth(star: Star) -> DataFrame:
 
 def loss_makers(star: Star) -> DataFrame:
     """Products whose losing lines add up to a loss, with that loss."""
-    return star.lines("product_key", "profit").filter(F.col("profit") < 0).groupBy("product_key").agg(
-        F.sum("profit").alias("total_loss"), F.count(F.lit(1)).alias("losing_lines"))
+    return star.totals(("product_key",), ("profit",), where=F.col("profit") < 0).withColumnsRenamed(
+        {"profit": "total_loss", "line_count": "losing_lines"})

@@ -48,7 +48,7 @@ def revenue_forecast(star: Star, by: str = "category_name", months: int = 6, sea
             rows.append((pdf["series"].iloc[0], month.date(), center, center - width, center + width))
         return pd.DataFrame(rows, columns=["series", "month_start", "forecast", "lower_bound", "upper_bound"])
 
-    monthly = star.lines(by, "year", "month", "revenue").groupBy(F.col(by).alias("series"), "year", "month").agg(
+    monthly = star.order_totals((by, "year", "month"), ("revenue",)).groupBy(F.col(by).alias("series"), "year", "month").agg(
         F.sum("revenue").cast("double").alias("revenue"))
     dated = monthly.select("series", F.make_date("year", "month", F.lit(1)).alias("month_start"), "revenue")
     return dated.groupBy("series").applyInPandas(smooth, _SCHEMA)

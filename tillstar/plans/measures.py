@@ -94,14 +94,13 @@ def measure_table(star: Star, by: Sequence[str], names: Sequence[str] = tuple(ME
 
 def active_customer_ratio(star: Star) -> DataFrame:
     """Customer versions with sales, over all customers of the dimension."""
-    buyers = star.lines("customer_key", "sales").filter(F.col("sales") > 0).groupBy("customer_key").agg(
-        F.count(F.lit(1)).alias("lines")).agg(F.count(F.lit(1)).alias("n"))
+    buyers = star.totals(("customer_key",), ("sales",), where=F.col("sales") > 0).agg(F.count(F.lit(1)).alias("n"))
     known = star.dimension("dim_customer").agg(F.count_distinct("customer_id")).scalar()
     return buyers.select(safe_divide(F.col("n"), known).alias("active_customer_ratio"))
 
 
 def daily_revenue(star: Star) -> DataFrame:
-    return star.lines("full_date", "revenue").groupBy("full_date").agg(F.sum("revenue").alias("revenue"))
+    return star.order_totals(("full_date",), ("revenue",)).groupBy("full_date").agg(F.sum("revenue").alias("revenue"))
 
 
 def to_date_revenue(star: Star) -> DataFrame:
@@ -127,7 +126,7 @@ def year_over_year(star: Star) -> DataFrame:
 
 
 def _months(star: Star) -> DataFrame:
-    months = star.lines("year", "month", "revenue").groupBy("year", "month").agg(F.sum("revenue").alias("revenue"))
+    months = star.order_totals(("year", "month"), ("revenue",)).groupBy("year", "month").agg(F.sum("revenue").alias("revenue"))
     return months.withColumn("_index", F.col("year") * 12 + F.col("month"))
 
 
@@ -141,13 +140,13 @@ def month_over_month(star: Star) -> DataFrame:
 
 def product_rank(star: Star) -> DataFrame:
     """Products ranked by revenue; equal revenue shares a rank and leaves a gap."""
-    products = star.lines("product_id", "revenue").groupBy("product_id").agg(F.sum("revenue").alias("revenue"))
+    products = star.totals(("product_id",), ("revenue",)).drop("line_count")
     return with_rank(products, "revenue", "product_sales_rank", dense=False)
 
 
 def lifetime_value(star: Star) -> DataFrame:
     """Revenue of each customer over all versions."""
-    return star.lines("customer_id", "revenue").groupBy("customer_id").agg(F.sum("revenue").alias("lifetime_value"))
+    return star.order_totals(("customer_id",), ("revenue",)).groupBy("customer_id").agg(F.sum("revenue").alias("lifetime_value"))
 
 
 def retention(star: Star) -> DataFrame:

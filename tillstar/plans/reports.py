@@ -35,7 +35,7 @@ def place_matrix(star: Star) -> DataFrame:
 
 def year_matrix(star: Star, years: Sequence[int]) -> DataFrame:
     """Quarter and month rows, one revenue and one growth column per year."""
-    months = star.lines("year", "quarter", "month", "revenue").groupBy("year", "quarter", "month").agg(
+    months = star.order_totals(("year", "quarter", "month"), ("revenue",)).groupBy("year", "quarter", "month").agg(
         F.sum("revenue").alias("revenue"))
     earlier = months.select((F.col("year") + 1).alias("year"), "month", F.col("revenue").alias("_earlier"))
     grown = months.join(earlier, ["year", "month"], "left").withColumn(
@@ -67,10 +67,11 @@ def segment_trend(star: Star) -> DataFrame:
 def discount_scatter(star: Star) -> DataFrame:
     """Per product: mean discount, margin, revenue and units."""
     keys = ("product_id", "product_name")
-    return star.lines(*keys, "discount", "revenue", "profit", "quantity").groupBy(*keys).agg(
-        ratio(F.sum("discount"), F.count("discount"), 4).alias("average_discount"),
-        F.sum("revenue").alias("total_revenue"), F.sum("profit").alias("total_profit"),
-        F.sum("quantity").alias("total_quantity")).withColumn("profit_margin", margin()).drop("total_profit")
+    totals = star.totals(keys, ("discount", "revenue", "profit", "quantity")).withColumnsRenamed(
+        {m: f"total_{m}" for m in ("revenue", "profit", "quantity")})
+    return totals.select(
+        *keys, ratio(F.col("discount"), F.col("line_count"), 4).alias("average_discount"), "total_revenue",
+        "total_quantity", margin().alias("profit_margin"))
 
 
 def place_map(star: Star) -> DataFrame:
@@ -82,8 +83,8 @@ def monthly_trend(star: Star) -> DataFrame:
 
 
 def category_split(star: Star) -> DataFrame:
-    return star.lines("category_name", "revenue", "profit").groupBy("category_name").agg(
-        F.sum("revenue").alias("total_revenue"), F.sum("profit").alias("total_profit"))
+    return star.totals(("category_name",), ("revenue", "profit")).withColumnsRenamed(
+        {"revenue": "total_revenue", "profit": "total_profit"}).drop("line_count")
 
 
 def region_split(star: Star) -> DataFrame:

@@ -39,6 +39,10 @@ class Star(ABC):
     def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
         """``order_id``, ``attributes``, each measure summed, and ``line_count``."""
 
+    @abstractmethod
+    def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+        """``keys``, each measure summed over their lines, and ``line_count``."""
+
     @abstractmethod
     def order_fixes(self, *attributes: str) -> bool:
         """True if an order can have only one combination of ``attributes``."""
@@ -96,8 +100,11 @@ class WarehouseStar(Star):
     def order_fixes(self, *attributes: str) -> bool:
         return not attributes
 
+    def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+        return self.lines(*keys, *measures, where=where).groupBy(*keys).agg(*_sums(measures))
+
     def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
-        return self.lines("order_id", *attributes, *measures).groupBy("order_id", *attributes).agg(*_sums(measures))
+        return self.totals(("order_id", *attributes), measures)
 
 
 class SourceStar(Star):
@@ -141,19 +148,32 @@ class SourceStar(Star):
         spark, folder = self.spark, self.folder
         line_level = [a for a in attributes if not commerce.is_order_level(a)]
         order_level = [a for a in attributes if commerce.is_order_level(a)]
-        line_tables = commerce.tables_for((*line_level, *measures))
-        lines = commerce.join_tables(spark, folder, commerce.read(spark, folder, "lineitem"), line_tables)
-        per_order = (
-            lines.select("l_orderkey", *[commerce.expression(c) for c in (*line_level, *measures)])
-            .groupBy("l_orderkey", *line_level)
-            .agg(*_sums(measures))
-        )
+        lines = self._priced((*line_level, *measures))
+        per_order = self._summed(lines, [F.col("l_orderkey")], line_level, measures)
         joined = commerce.join_tables(spark, folder, per_order, commerce.tables_for(tuple(order_level)))
         return joined.select(
             commerce.expression("order_id"), *line_level, *[commerce.expression(c) for c in order_level],
             *measures, "line_count",
         ).select("order_id", *attributes, *measures, "line_count")
 
+    def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+        lines = self._priced((*keys, *measures))
+        if where is not None:
+            lines = lines.withColumns({m: commerce.expression(m) for m in measures}).filter(where)
+        return self._summed(lines, [], keys, measures)
+
+    def _priced(self, columns: Sequence[str]) -> DataFrame:
+        base = commerce.read(self.spark, self.folder, "lineitem")
+        return commerce.priced(commerce.join_tables(self.spark, self.folder, base, commerce.tables_for(tuple(columns))))
+
+    @staticmethod
+    def _summed(lines: DataFrame, native: list[Column], keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+        """Sum whole numbers per key, then turn the sums into amounts."""
+        sums, reads = zip(*[commerce.summed(m) for m in measures]) if measures else ((), ())
+        grouped = lines.groupBy(*native, *[commerce.expression(k) for k in keys]).agg(
+            *sums, F.count(F.lit(1)).alias("line_count"))
+        return grouped.select(*native, *keys, *reads, "line_count")
+
 
 class SlicedStar(Star):
     """A star limited to given attribute values, such as one region of a role."""
@@ -179,6 +199,10 @@ class SlicedStar(Star):
         df = self._limited(self.star.order_totals(self._with(attributes), measures))
         return df.select("order_id", *attributes, *measures, "line_count")
 
+    def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
+        df = self._limited(self.star.totals(self._with(keys), measures, where))
+        return df.select(*keys, *measures, "line_count")
+
     def order_fixes(self, *attributes: str) -> bool:
         return self.star.order_fixes(*attributes)
 

@@ -46,7 +46,7 @@ def sales_trends_view(star: Star) -> DataFrame:
 
 def monthly_moving_average(star: Star, rows: int = 3) -> DataFrame:
     """Monthly revenue and profit with the mean revenue of the last ``rows`` months."""
-    months = star.lines("year", "month", "revenue", "profit").groupBy("year", "month").agg(
+    months = star.order_totals(("year", "month"), ("revenue", "profit")).groupBy("year", "month").agg(
         F.sum("revenue").alias("total_revenue"), F.sum("profit").alias("total_profit"))
     return with_month_name(months).withColumn(
         "revenue_moving_avg", moving_average("total_revenue", rows, ("year", "month"))).orderBy("year", "month")
@@ -54,7 +54,7 @@ def monthly_moving_average(star: Star, rows: int = 3) -> DataFrame:
 
 def profit_waterfall(star: Star) -> DataFrame:
     """Profit per sub-category with the cumulative profit in name order."""
-    steps = star.lines("sub_category", "profit").groupBy("sub_category").agg(F.sum("profit").alias("total_profit"))
+    steps = star.totals(("sub_category",), ("profit",)).select("sub_category", F.col("profit").alias("total_profit"))
     # Rises with the product catalogue's sub-categories, never with sales.
     return steps.withColumn("cumulative_profit", running_total("total_profit", ("sub_category",))).orderBy("sub_category")
 

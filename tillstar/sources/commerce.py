@@ -7,6 +7,7 @@ whenever none of its columns is asked for.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,31 +21,66 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def _sales() -> Column:
-    return F.col("l_extendedprice").cast("decimal(12,2)")
+def _half(value: str) -> str:
+    """A whole number of hundredths of cents as cents, rounded half away from zero."""
+    return f"({value} + if({value} < 0, -50, 50)) div 100"
 
 
-def _discount() -> Column:
-    return F.col("l_discount").cast("decimal(5,2)")
+def priced(lines: DataFrame) -> DataFrame:
+    """Add the amounts of each line as whole cents.
 
-
-def _quantity() -> Column:
-    return F.col("l_quantity").cast("int")
-
-
-def _net() -> Column:
-    return _sales() * (1 - _discount())
+    The tables hold amounts of at most two decimals as doubles. Whole numbers are
+    exact, and far cheaper to multiply and sum than wide decimals. Columns nobody
+    asks for are pruned away.
+    """
+    def whole(column: str) -> Column:
+        return F.floor(F.col(column) * 100 + 0.5)
+
+    cents = {"_sales": whole("l_extendedprice"), "_discount": whole("l_discount"), "_quantity": F.col("l_quantity").cast("bigint")}
+    if "p_retailprice" in lines.columns:
+        cents["_retail"] = whole("p_retailprice")
+    net = {"_net": F.expr("_sales * (100 - _discount)")}
+    amounts = {"_revenue": F.expr(_half("_net"))}
+    if "_retail" in cents:
+        net["_gain"] = F.expr("_sales * (100 - _discount) - 95 * _quantity * _retail")
+        amounts["_profit"] = F.expr(_half("_gain"))
+    return lines.withColumns(cents).withColumns(net).withColumns(amounts)
+
+
+def amount(cents: Column, scale: int = 2) -> Column:
+    """A sum of hundredths (or of 10^-scale) as an exact decimal."""
+    step = F.lit(Decimal(1).scaleb(-scale))
+    return cents.cast("decimal(20,0)") * step
+
+
+def _money(column: str) -> Column:
+    return amount(F.col(column)).cast("decimal(12,2)")
+
+
+# Measure -> (whole-number column, decimals). Sums of these stay within 64 bits up
+# to 9e16 currency units per group; beyond, Spark reports an overflow.
+WHOLE = {
+    "sales": ("_sales", 2),
+    "revenue": ("_revenue", 2),
+    "profit": ("_profit", 2),
+    "discount": ("_discount", 2),
+    "quantity": ("_quantity", 0),
+}
 
 
-def _profit() -> Column:
-    unit_cost = F.lit("0.95").cast("decimal(3,2)") * _quantity() * F.col("p_retailprice").cast("decimal(10,2)")
-    return (_net() - unit_cost).cast("decimal(12,2)")
+def summed(measure: str) -> tuple[Column, Column]:
+    """How to sum a measure over priced lines, and how to read the sum afterwards."""
+    if measure in WHOLE:
+        column, scale = WHOLE[measure]
+        total = F.col(measure) if scale == 0 else amount(F.col(measure), scale)
+        return F.sum(column).alias(measure), total.alias(measure)
+    return F.sum(ATTRIBUTES[measure][1]()).alias(measure), F.col(measure)
 
 
 def _margin() -> Column:
-    share = F.try_divide(_profit(), _sales())
+    share = F.try_divide(F.col("_profit").cast("decimal(18,0)"), F.col("_sales").cast("decimal(18,0)"))
     clipped = F.greatest(F.lit(-10), F.least(F.lit(1), share))
-    return F.when(_sales() > 0, clipped).otherwise(F.lit(0)).cast("decimal(6,4)")
+    return F.when(F.col("_sales") > 0, clipped).otherwise(F.lit(0)).cast("decimal(6,4)")
 
 
 def line_id() -> Column:
@@ -74,16 +110,16 @@ def _postal() -> Column:
 ATTRIBUTES: dict[str, tuple[tuple[str, ...], callable]] = {
     "sales_key": ((), line_id),
     "order_id": ((), lambda: F.col("l_orderkey").cast("string")),
-    "sales": ((), _sales),
-    "quantity": ((), _quantity),
-    "discount": ((), _discount),
-    "revenue": ((), lambda: _net().cast("decimal(12,2)")),
-    "profit": (("part",), _profit),
+    "sales": ((), lambda: _money("_sales")),
+    "quantity": ((), lambda: F.col("_quantity").cast("int")),
+    "discount": ((), lambda: amount(F.col("_discount")).cast("decimal(5,2)")),
+    "revenue": ((), lambda: _money("_revenue")),
+    "profit": (("part",), lambda: _money("_profit")),
     "profit_margin": (("part",), _margin),
     "ship_date": ((), ship_date),
     "ship_date_key": ((), lambda: dates.date_key(ship_date())),
     "ship_day": ((), lambda: F.unix_date(ship_date())),
-    "discount_amount": ((), lambda: _sales() * _discount()),
+    "discount_amount": ((), lambda: amount(F.expr("_sales * _discount"), 4)),
     "ship_mode": (("orders",), lambda: F.col("o_orderpriority")),
     "order_date_key": (("orders",), lambda: dates.date_key(order_date())),
     "full_date": (("orders",), order_date),
@@ -148,7 +184,7 @@ def join_tables(spark: SparkSession, folder: str, base: DataFrame, tables: set[s
 def order_lines(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     """Order lines with the asked columns, joining only what those need."""
     base = read(spark, folder, "lineitem")
-    joined = join_tables(spark, folder, base, tables_for(columns))
+    joined = priced(join_tables(spark, folder, base, tables_for(columns)))
     return joined.select(*[expression(c) for c in columns])
 
 
