@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import dates, numbers, text
 
-NAMES = ["o'neil-smith", "  new  york ", "3rd street", "ALL CAPS", "mcDonald", "a1b2", "", "x", "são paulo", "l'ÎLE d'Or"]
+NAMES = ["o'neil-smith", "  new  york ", "3rd street", "ALL CAPS", "mcDonald", "a1b2", "", "x", "são paulo", "l'ÎLE d'Or",
+         "Los Angeles", "New-York 2Nd", "McD", "Éa B", "aB", "A1b", "X_y", " "]
 
 
 def column(spark, values, kind="string"):

@@ -55,15 +55,20 @@ def strip(text: Column) -> Column:
     return F.when(text.rlike(_TIDY), text).otherwise(F.btrim(text, F.lit(BLANKS)))
 
 
+# Texts whose runs of letters are all one capital and small letters after it.
+_TITLED = r"^(?:(?<!\p{L})\p{Lu}\p{Ll}*+(?!\p{L})|\P{L}++)*+\z"
+
+
 def title_case(text: Column) -> Column:
     """Upper-case the first letter of every run of letters, lower-case the rest.
 
     ``initcap`` only starts a word after a blank, so ``o'neil-smith`` needs this.
+    Texts already in that form, most of a clean source, pass through.
     """
     runs = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+|\P{L}+)"), F.lit(0))
-    return F.array_join(
-        F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substr(run, F.lit(2)))), ""
-    )
+    rebuilt = F.array_join(
+        F.transform(runs, lambda run: F.concat(F.upper(F.substring(run, 1, 1)), F.substr(run, F.lit(2)))), "")
+    return F.when(text.rlike(_TITLED), text).otherwise(rebuilt)
 
 
 def _lookup(names: dict[str, str], key: Column) -> Column:
