@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +11,11 @@ from checks.registry import query
 from checks.sql_parts import LINES, big, dollars, ratio
 from tillstar.functions import dates, numbers, text
 from tillstar.operators import clean, dedup, dimensions, facts, features, quality, quantiles, scd2
-from tillstar.plans.load import load_all
+from tillstar.plans.load import load_all, run_daily
 from tillstar.schemas import TABLES
 from tillstar.session import materialize, scratch_root, store_rows
 from tillstar.sources import commerce
-from tillstar.sources.files import extraction_metrics
+from tillstar.sources.files import detect_encodings, extraction_metrics, read_raw
 from tillstar.sources.store import Store, table_counts
 
 # --- the same defects in SQL -------------------------------------------------
@@ -444,8 +446,6 @@ query("q7_j9_referential_integrity", integrity,
 
 def load_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Rows per table after loading the lines twice; the second load must add nothing."""
-    import uuid
-
     store = Store(spark, f"{scratch_root(spark)}/store-{uuid.uuid4().hex}")
     store.create_tables()
     batch = silver(spark, folder)
@@ -460,6 +460,46 @@ query("l8_a20_table_counts_after_load", load_counts, upto("silver", f"""SELECT '
   UNION ALL SELECT 'dim_customer', {big('COUNT(*)')} FROM customers UNION ALL SELECT 'dim_product', {big('COUNT(*)')} FROM products
   UNION ALL SELECT 'fact_sales', {big('COUNT(*)')} FROM silver""", *DIMS))
 
+# --- files and the whole run --------------------------------------------------
+
+
+def landing(name: str, build):
+    """``build`` written as CSV files of order lines, once per application and folder."""
+    written: dict[tuple[str, str], str] = {}
+
+    def get(spark: SparkSession, folder: str) -> str:
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in written:
+            path = f"{scratch_root(spark)}/landing-{name}-{uuid.uuid4().hex}"
+            (build(spark, folder).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+             .option("ignoreTrailingWhiteSpace", False).csv(path))
+            written[key] = path
+        return written[key]
+
+    return get
+
+
+landed = landing("orders", raw)
+query("sc1_sc3_sc4_csv_scan", lambda s, d: read_raw(s, landed(s, d)), upto("raw", "SELECT * FROM raw"))
+query("sc4_file_encodings", lambda s, d: detect_encodings(s, landed(s, d)).select("encoding").distinct(), "SELECT 'utf-8' AS encoding")
+
+
+def run_counts(spark: SparkSession, folder: str) -> DataFrame:
+    work = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    result = run_daily(spark, landed(spark, folder), work)
+    return result.as_row(spark).select(
+        "status", "rows_extracted", "rows_cleaned", "rows_transformed", "rows_loaded", "rows_rejected",
+        "raw_quality_score", "transformed_quality_score")
+
+
+SCORE = """CAST(greatest(0, 100 - 15 * COUNT(*) FILTER (n > 0 AND severity = 'critical') - 5 * COUNT(*) FILTER (n > 0 AND severity = 'warning')) AS DOUBLE)"""
+query("l10_l12_daily_run", run_counts, upto("silver", f"""SELECT 'QUALITY_FAILURE' AS status, {big('(SELECT COUNT(*) FROM raw)')} AS rows_extracted,
+  {big('(SELECT COUNT(*) FROM cleaned)')} AS rows_cleaned, {big('(SELECT COUNT(*) FROM silver)')} AS rows_transformed,
+  {big('(SELECT COUNT(*) FROM silver)')} AS rows_loaded, {big('(SELECT COUNT(*) FROM raw) - (SELECT COUNT(*) FROM cleaned)')} AS rows_rejected,
+  {SCORE} AS raw_quality_score,
+  CAST(100 - 5 * (SELECT CAST(COUNT(*) FILTER (sales_c > 10000000) > 0 AS INTEGER) + CAST(COUNT(*) FILTER (profit_c < -2000000 OR profit_c > 5000000) > 0 AS INTEGER)
+    FROM silver) AS DOUBLE) AS transformed_quality_score FROM results""", results_sql(("",))))
+
 # --- scalar helpers over whole tables ----------------------------------------
 
 query("x18_hash_keys", lambda s, d: commerce.read(s, d, "lineitem").select(

@@ -12,6 +12,7 @@ from checks.sql_parts import AOV, MARGIN, ORDERS, SRP, big, dollars, ratio, tota
 from tillstar.operators import dimensions
 from tillstar.plans import analytics, reads, reports
 from tillstar.plans.load import load_all
+from tillstar.plans.summaries import refresh_summaries
 from tillstar.plans.star import SlicedStar, SourceStar, WarehouseStar, join_date, secured
 from tillstar.session import scratch_root
 from tillstar.sources import commerce
@@ -155,3 +156,20 @@ query("sc6_a8_stored_kpis", lambda s, d: analytics.get_kpis(loaded_star(s, d)),
     f"""SELECT {dollars('SUM(sales_c)')} AS gross_sales, {dollars('SUM(revenue_c)')} AS net_revenue, {dollars('SUM(profit_c)')} AS total_profit,
   {big('SUM(q)')} AS total_quantity, {big(SILVER_ORDERS)} AS total_orders, {big('COUNT(DISTINCT "Customer ID")')} AS total_customers,
   {ratio('SUM(revenue_c)', f'({SILVER_ORDERS} * 100)', 2)} AS average_order_value, {MARGIN} AS net_profit_margin FROM silver"""))
+
+
+def refreshed(name):
+    """A summary as its refresh stores it."""
+    def get(spark, folder):
+        star = loaded_star(spark, folder)
+        return refresh_summaries(Store(spark, _LOADED[(spark.sparkContext.applicationId, folder)]), star, [name])[name]
+
+    return get
+
+
+query("l9_refreshed_monthly_sales", refreshed("mv_monthly_sales"), upto("silver",
+    f"""SELECT CAST(year(od) AS INTEGER) AS year, CAST(month(od) AS INTEGER) AS month, monthname(od) AS month_name, "Category" AS category_name,
+  {SILVER_SUMS}, {big('SUM(q)')} AS total_quantity, {big(SILVER_ORDERS)} AS total_orders FROM silver GROUP BY ALL"""))
+query("l9_refreshed_product_performance", refreshed("mv_product_performance"), upto("silver",
+    f"""SELECT p.product_key, p.product_id, p.product_name, s."Category" AS category_name, p.sub_category, {SILVER_SUMS},
+  {big('SUM(q)')} AS total_quantity FROM silver s JOIN products p ON p.product_id = s."Product ID" GROUP BY ALL""", DIMS[0], DIMS[3]))
