@@ -90,9 +90,10 @@ def _band(score: Column) -> Column:
 def customer_metrics(star: Star) -> DataFrame:
     """Last order, distinct orders and revenue of each customer version."""
     keys = ("customer_key", "customer_id", "customer_name", "segment")
-    # One order may carry several dates, so dates are reduced per order first.
-    orders = star.order_totals((*keys, "full_date"), ("revenue",)).groupBy(*keys, "order_id").agg(
-        F.max("full_date").alias("last_date"), F.sum("revenue").alias("revenue"))
+    orders = star.order_totals((*keys, "full_date"), ("revenue",)).withColumnRenamed("full_date", "last_date")
+    if not star.order_fixes(*keys, "full_date"):
+        # One order may carry several dates, so dates are reduced per order first.
+        orders = orders.groupBy(*keys, "order_id").agg(F.max("last_date").alias("last_date"), F.sum("revenue").alias("revenue"))
     return orders.groupBy(*keys).agg(
         F.max("last_date").alias("last_order_date"), F.count(F.lit(1)).alias("order_frequency"),
         F.sum("revenue").alias("monetary_value")).withColumnRenamed("segment", "market_segment")
