@@ -6,14 +6,14 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from checks.etl import DIMS, cleaned, silver, upto  # noqa: F401
+from checks.etl import DIMS, silver, upto
 from checks.registry import query, star_query
 from checks.sql_parts import AOV, MARGIN, ORDERS, SRP, big, dollars, ratio, totals, with_lines
 from tillstar.operators import dimensions
 from tillstar.plans import analytics, reads, reports
 from tillstar.plans.load import load_all
-from tillstar.plans.summaries import refresh_summaries
 from tillstar.plans.star import SlicedStar, SourceStar, WarehouseStar, join_date, secured
+from tillstar.plans.summaries import refresh_summaries
 from tillstar.session import scratch_root
 from tillstar.sources import commerce
 from tillstar.sources.store import Store
