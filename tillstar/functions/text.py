@@ -134,8 +134,3 @@ def clean_string(text: Column) -> Column:
         return texts.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 
     return F.nullif(nfc(strip(text)), F.lit(""))
-
-
-def clean_ascii_string(text: Column) -> Column:
-    """:func:`clean_string` for columns known to hold ASCII; stays in the JVM."""
-    return F.nullif(strip(text), F.lit(""))

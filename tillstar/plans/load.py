@@ -8,7 +8,6 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tillstar.operators import clean as cleaning
 from tillstar.operators import dimensions, facts, features, quality, scd2
