@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tillstar.llm import op04
+from tillstar.llm import op04, op09
 
 QUERIES = {
     "op4_chat_prefix_targets": op04.op4_chat_prefix_targets,
+    "op9_quality_rules": op09.op9_quality_rules,
 }
 ORACLES = {
     "op4_chat_prefix_targets": op04.SQL,

@@ -7,7 +7,7 @@ import xxhash
 
 WIDTH = 5
 #: Odd multipliers that give each place in a shingle its own weight; drawn once from a fixed seed.
-_PLACES = np.random.default_rng(5).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = np.random.default_rng(5).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class WordHashes(dict):
@@ -47,8 +47,8 @@ def shingle_set(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
     if not n:
         return np.empty(0, np.uint64)
     if n < width:
-        return mixed((hashes * _PLACES[:n]).sum(keepdims=True) + _PLACES[32 + n])
-    total = hashes[: n - width + 1] * _PLACES[0]
+        return mixed((hashes * PLACES[:n]).sum(keepdims=True) + PLACES[32 + n])
+    total = hashes[: n - width + 1] * PLACES[0]
     for k in range(1, width):
-        total += hashes[k : n - width + 1 + k] * _PLACES[k]
+        total += hashes[k : n - width + 1 + k] * PLACES[k]
     return np.unique(mixed(total))
