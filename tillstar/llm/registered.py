@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tillstar.llm import op04, op09
+from tillstar.llm import op04, op09, op10
 
 QUERIES = {
     "op4_chat_prefix_targets": op04.op4_chat_prefix_targets,
     "op9_quality_rules": op09.op9_quality_rules,
+    "op10_minhash_near_duplicates": op10.op10_minhash_near_duplicates,
 }
 ORACLES = {
     "op4_chat_prefix_targets": op04.SQL,
+    "op10_minhash_near_duplicates": op10.SQL,
 }
