@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tillstar.llm import op04, op09, op10
+from tillstar.llm import op04, op05, op06, op09, op10
 
 QUERIES = {
     "op4_chat_prefix_targets": op04.op4_chat_prefix_targets,
+    "op5_pii_sanitisation": op05.op5_pii_sanitisation,
+    "op6_source_mixture": op06.op6_source_mixture,
     "op9_quality_rules": op09.op9_quality_rules,
     "op10_minhash_near_duplicates": op10.op10_minhash_near_duplicates,
 }
