@@ -22,13 +22,14 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.llm import blocks
 from tillstar.llm.components import components
 from tillstar.llm.idfilter import IdFilter
 from tillstar.llm.shingles import WordHashes, shingle_set, words_of
+from tillstar.llm.tables import shielded
 from tillstar.session import materialize
 
 BANDS, ROWS = 40, 5
@@ -70,7 +71,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(32)).astype(np.uint32)
 
 
-SIGNED = "doc_id long, n_shingles long, node long, keys array<int>, signature binary"
+SIGNED = "doc_id long, h long, n_shingles long, node long, keys array<int>, signature binary"
 
 
 def sign(documents: DataFrame) -> DataFrame:
@@ -92,10 +93,10 @@ def sign(documents: DataFrame) -> DataFrame:
                 node[i] = xxhash.xxh3_64_intdigest(sets[i].tobytes()) - 2**63
                 key[i], signature[i] = keys[at], low[at].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()),
-                 pa.array(key, pa.list_(pa.int32())), pa.array(signature, pa.binary())], ["doc_id", "n_shingles", "node", "keys", "signature"])
+                [pa.array(ids, pa.int64()), batch.column("h"), pa.array([len(s) for s in sets], pa.int64()), pa.array(node, pa.int64()),
+                 pa.array(key, pa.list_(pa.int32())), pa.array(signature, pa.binary())], ["doc_id", "h", "n_shingles", "node", "keys", "signature"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SIGNED)
+    return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, SIGNED)
 
 
 def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -220,6 +221,30 @@ def _rest(documents: DataFrame, nodes: DataFrame, shared: DataFrame, groups: Dat
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept per row of ``documents``."""
+    return _verdicts(documents).drop("h")
+
+
+def keep(documents: DataFrame) -> DataFrame:
+    """One document of each component, all columns unchanged: the rows with its smallest doc_id, equal rows once."""
+    verdicts = materialize(_verdicts(documents))
+    key = ["doc_id", "h"]
+    dropped = verdicts.where("not kept").select(*key).distinct()
+    again = verdicts.where("kept").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    given, name = shielded(documents)
+    keyed = given.withColumns({"doc_id": F.col(name["doc_id"]).cast("long"), "h": F.xxhash64(F.col(name["text"]))})
+
+    def same(other: DataFrame) -> Column:
+        return keyed["doc_id"].eqNullSafe(other["doc_id"]) & (keyed["h"] == other["h"])
+
+    staying = keyed.join(dropped, same(dropped), "left_anti")
+    if not again.isEmpty():
+        again = materialize(again)
+        staying = staying.join(again, same(again), "left_anti").unionByName(staying.join(again, same(again), "left_semi").dropDuplicates(key))
+    return staying.select(*(F.col(new).alias(old) for old, new in zip(documents.columns, given.columns)))
+
+
+def _verdicts(documents: DataFrame) -> DataFrame:
+    """:func:`near_duplicates` and h, the hash of the row's text."""
     signed = materialize(sign(documents))
     nodes = materialize(
         signed.where("node is not null").groupBy("node")
@@ -237,9 +262,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     links = materialize(_both(likely, sets, "shingles").mapInArrow(_sets_agree, "a long, b long"))
     more = materialize(_rest(documents, nodes, shared, components(links)))
     groups = components(links.unionByName(more))
-    labels = signed.select("doc_id", "n_shingles", "node").join(groups.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "node").alias("label"))
-    smallest = labels.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")).withColumnRenamed("label", "of")
+    labels = signed.select("doc_id", "h", "n_shingles", "node").join(groups.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
+        "doc_id", "h", "n_shingles", F.coalesce("component", "node").alias("label"))
+    # Stored, so that the join below shuffles both sides itself and a label with very many documents can be split.
+    smallest = materialize(labels.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")).withColumnRenamed("label", "of"))
     return labels.join(smallest, F.col("label") == F.col("of"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"),
+        "doc_id", "h", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("least", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"))

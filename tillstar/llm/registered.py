@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from tillstar.llm import op04, op05, op06, op09, op10
+import corpus_pipeline
+from tillstar.llm import op04, op05, op06, op07, op08, op09, op10
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op4_chat_prefix_targets": op04.op4_chat_prefix_targets,
     "op5_pii_sanitisation": op05.op5_pii_sanitisation,
     "op6_source_mixture": op06.op6_source_mixture,
+    "op7_ans_token_files": op07.op7_ans_token_files,
+    "op8_configuration_packing": op08.op8_configuration_packing,
     "op9_quality_rules": op09.op9_quality_rules,
     "op10_minhash_near_duplicates": op10.op10_minhash_near_duplicates,
 }
