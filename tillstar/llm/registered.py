@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillstar.llm import op04, op05, op06, op07, op08, op09, op10
+from tillstar.llm import op01, op02, op03, op04, op05, op06, op07, op08, op09, op10
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_kneser_ney_quality": op01.op1_kneser_ney_quality,
+    "op2_token_counts": op02.op2_token_counts,
+    "op3_pivot_near_duplicates": op03.op3_pivot_near_duplicates,
     "op4_chat_prefix_targets": op04.op4_chat_prefix_targets,
     "op5_pii_sanitisation": op05.op5_pii_sanitisation,
     "op6_source_mixture": op06.op6_source_mixture,
@@ -16,6 +19,7 @@ QUERIES = {
     "op10_minhash_near_duplicates": op10.op10_minhash_near_duplicates,
 }
 ORACLES = {
+    "op3_pivot_near_duplicates": op03.SQL,
     "op4_chat_prefix_targets": op04.SQL,
     "op10_minhash_near_duplicates": op10.SQL,
 }
