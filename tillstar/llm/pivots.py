@@ -5,8 +5,8 @@ every pair of those pivots, so two vectors share at least ``2`` pivots exactly i
 list of the two smallest pivots it shares, hence once. What meets is verified by cosine in double precision. Equal vectors
 are one entry with a count, so copies never meet each other. Long lists are compared in blocks of bounded size.
 
-The pivots are a bounded sample (``PIVOTS`` distinct vectors, those with the smallest hashes), drawn again for every table; all
-vectors are indexed. Recall against brute force is tested; every reported link has been verified.
+The pivots come from a bounded sample (the ``SAMPLE * PIVOTS`` distinct vectors with the smallest hashes), drawn again for every
+table; all vectors are indexed. Recall against brute force is tested; every reported link has been verified.
 
 Defined results: a vector that is null, of length zero, holds a null or non-finite component or no component is linked with nothing;
 so is one whose dimension differs from the pivots' most frequent one; a null ``vec_id`` is linked with nothing and kept; rows that repeat a
@@ -28,11 +28,15 @@ from tillstar.session import materialize
 
 LEAST = 0.9
 PIVOTS = 256
+SAMPLE = 8
+APART = 0.7
 PREFIX = 6
 _PAIRS = np.array(list(combinations(range(PREFIX), 2)))
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1; scaled first, so that very large and very small ones keep their direction."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -47,13 +51,24 @@ def distinct(vectors: DataFrame) -> DataFrame:
 
 
 def choose(nodes: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
-    """The pivots as unit vectors; at most ``pivots`` rows come to the driver."""
-    rows = [r["vector"] for r in nodes.select("vector").orderBy(F.xxhash64("vector")).limit(pivots).collect()]
+    """The pivots as unit vectors, from a sample of at most ``SAMPLE`` times as many distinct vectors.
+
+    A vector nearer than ``APART`` to a pivot is passed over: many pivots in one dense group would be everyone's nearest there, in
+    an order that tells nothing.
+    """
+    rows = [r["vector"] for r in nodes.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE * pivots).collect()]
     if not rows:
         return np.zeros((0, 0))
     sizes = [len(r) for r in rows]
     common = max(sorted(set(sizes)), key=sizes.count)
-    return unit(np.array([r for r in rows if len(r) == common], float))
+    sample = unit(np.array([r for r in rows if len(r) == common], float))
+    chosen = sample[:1]
+    for row in sample[1:]:
+        if len(chosen) == pivots:
+            break
+        if (chosen @ row).max() < APART:
+            chosen = np.vstack([chosen, row])
+    return chosen
 
 
 def prefixes(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -76,14 +91,9 @@ def inverted(nodes: DataFrame, pivots: np.ndarray) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = unit(np.array(batch.column("vector").to_pylist(), float))
-            # Overflow or underflow of the length: scale first.
-            bad = ~np.isfinite(rows).all(axis=1) | ~(np.abs(np.linalg.norm(rows, axis=1) - 1) < 1e-6)
-            if bad.any():
-                raw = np.array(batch.column("vector").to_pylist(), float)[bad]
-                rows[bad] = unit(raw / np.abs(raw).max(axis=1, keepdims=True))
             sorted_ = np.sort(prefixes(rows, shared.value), axis=1).astype("<i4")
             a, b = sorted_[:, _PAIRS[:, 0]].astype(np.int64), sorted_[:, _PAIRS[:, 1]].astype(np.int64)
-            keys = np.where(a < 0, np.int64(-1) - (b < 0), (a << 32) | b)  # fewer pivots than the prefix: lists of their own
+            keys = (a << 32) | b if len(shared.value) >= PREFIX else np.full((len(rows), 1), -1)  # too few pivots: one list
             packed, vectors = [p.tobytes() for p in sorted_], [r.tobytes() for r in rows]
             node, copies = batch.column("node").to_pylist(), batch.column("copies").to_pylist()
             for i in range(0, len(rows), 500):

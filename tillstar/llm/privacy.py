@@ -142,10 +142,10 @@ def revealing(documents: DataFrame, spans: DataFrame) -> DataFrame:
         .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     )
     words = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    total = spans.agg(F.count(F.lit(1)).alias("n_all"))
-    told = together.join(entities, "entity").join(words, "term").join(F.broadcast(total))
-    pmi = F.log(F.col("n_all") * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    ic = F.log(F.col("n_all") / F.col("n_entity"))
+    told = together.join(entities, "entity").join(words, "term")
+    documents_in_all = F.lit(float(spans.count()))
+    pmi = F.log(documents_in_all * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    ic = F.log(documents_in_all / F.col("n_entity"))
     return told.withColumn("share", F.when(ic > 0, pmi / ic)).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
 
 
