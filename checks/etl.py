@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +18,7 @@ from tillstar.plans.load import load_all, run_daily
 from tillstar.schemas import TABLES
 from tillstar.session import materialize, scratch_root, store_rows
 from tillstar.sources import commerce
-from tillstar.sources.files import detect_encodings, extraction_metrics, read_raw
+from tillstar.sources.files import detect_encodings, extraction_metrics, malformed_rows, read_raw
 from tillstar.sources.store import Store, table_counts
 
 # --- the same defects in SQL -------------------------------------------------
@@ -463,6 +466,23 @@ query("l8_a20_table_counts_after_load", load_counts, upto("silver", f"""SELECT '
 # --- files and the whole run --------------------------------------------------
 
 
+def csv_files(rows: DataFrame, path: str, files: int = 3, reverse: bool = False) -> None:
+    """``rows`` as files of Python's csv module; a row whose ``_fields`` is set gets one field more or one less."""
+    names = [c for c in rows.columns if c != "_fields"]
+
+    def write(batches):
+        out = io.StringIO(newline="")
+        writer = csv.writer(out)
+        writer.writerow(names[::-1] if reverse else names)
+        for batch in batches:
+            for r in batch.to_pylist():
+                fields = [r[n] for n in names][:: -1 if reverse else 1]
+                writer.writerow(fields + ["surplus"] if r.get("_fields") == "more" else fields[:-1] if r.get("_fields") == "less" else fields)
+        yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().removesuffix("\r\n")])], ["value"])
+
+    rows.repartition(files).mapInArrow(write, "value string").write.option("lineSep", "\n").mode("append").text(path)
+
+
 def landing(name: str, build):
     """``build`` written as CSV files of order lines, once per application and folder."""
     written: dict[tuple[str, str], str] = {}
@@ -471,8 +491,7 @@ def landing(name: str, build):
         key = (spark.sparkContext.applicationId, folder)
         if key not in written:
             path = f"{scratch_root(spark)}/landing-{name}-{uuid.uuid4().hex}"
-            (build(spark, folder).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
-             .option("ignoreTrailingWhiteSpace", False).csv(path))
+            csv_files(build(spark, folder), path)
             written[key] = path
         return written[key]
 
@@ -480,13 +499,50 @@ def landing(name: str, build):
 
 
 landed = landing("orders", raw)
-query("sc1_sc3_sc4_csv_scan", lambda s, d: read_raw(s, landed(s, d)), upto("raw", "SELECT * FROM raw"))
-query("sc4_file_encodings", lambda s, d: detect_encodings(s, landed(s, d)).select("encoding").distinct(), "SELECT 'utf-8' AS encoding")
+query("sc1_sc3_sc4_csv_scan", lambda s, d: read_raw(s, landed(s, d), null_words=("",)), upto("raw", "SELECT * FROM raw"))
+
+
+def hostile(spark: SparkSession, folder: str) -> DataFrame:
+    """Quotes, commas and line breaks in a field, null words, one field too many or too few."""
+    n = F.split_part(F.col("`Row ID`"), F.lit("-"), F.lit(1)).cast("bigint")
+    name = F.when(n % 7 == 0, F.concat(F.lit('"A", '), F.col("`Product Name`"), F.lit('\nsecond "line"'))).otherwise(F.col("`Product Name`"))
+    country = F.when(n % 11 == 0, "NULL").when(n % 11 == 1, "n/a").otherwise(F.col("`Country`"))
+    fields = F.when(n % 50 == 0, "more").when(n % 50 == 1, "less")
+    return raw(spark, folder).withColumns({"Product Name": name, "Country": country, "_fields": fields})
+
+
+WORDS = "('n/a', 'N/A', 'NA', 'NULL', 'null', 'nan', 'NaN', 'None', '')"
+HOSTILE = f"""SELECT CASE WHEN COLUMNS(*) NOT IN {WORDS} THEN COLUMNS(*) END FROM (SELECT * EXCLUDE (n) REPLACE (CASE WHEN n % 7 = 0 THEN '"A", ' || "Product Name" || chr(10) || 'second "line"' ELSE "Product Name" END AS "Product Name",
+  CASE WHEN n % 11 > 1 THEN "Country" END AS "Country", CASE WHEN n % 50 <> 1 THEN "Profit" END AS "Profit")
+  FROM (SELECT *, CAST(split_part("Row ID", '-', 1) AS BIGINT) AS n FROM raw) AS numbered WHERE n % 50 <> 0) AS told"""
+hostile_landed = landing("hostile", hostile)
+query("sc1_hostile_files", lambda s, d: read_raw(s, hostile_landed(s, d)), upto("raw", HOSTILE))
+query("sc1_malformed_rows", lambda s, d: malformed_rows(s, hostile_landed(s, d)).select(
+    F.count(F.lit(1)).alias("malformed"), F.count_if(F.col("record").endswith(",surplus")).alias("with_surplus")),
+    upto("raw", """SELECT COUNT(*) AS malformed, COUNT(*) AS with_surplus FROM raw WHERE CAST(split_part("Row ID", '-', 1) AS BIGINT) % 50 = 0"""))
+
+
+def mixed_folder(spark: SparkSession, folder: str) -> str:
+    """Files in two encodings, with the columns in two orders and one column that only some have."""
+    path = f"{scratch_root(spark)}/landing-mixed-{uuid.uuid4().hex}"
+    rows = raw(spark, folder)
+    n = F.split_part(F.col("`Row ID`"), F.lit("-"), F.lit(1)).cast("bigint")
+    rows = rows.withColumn("Customer Name", F.concat(F.lit("Zoë "), F.col("`Customer Name`")))
+    csv_files(rows.where(n % 2 == 0), path, 2, reverse=True)
+    late = rows.where(n % 2 == 1).withColumn("Note", F.lit("late")).repartition(2)
+    late.write.options(header=True, encoding="iso-8859-1", quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).mode("append").csv(path)
+    return path
+
+
+query("sc3_mixed_headers", lambda s, d: read_raw(s, mixed_folder(s, d), null_words=("",)), upto("raw", """SELECT * REPLACE ('Zoë ' || "Customer Name" AS "Customer Name"),
+  CASE WHEN CAST(split_part("Row ID", '-', 1) AS BIGINT) % 2 = 1 THEN 'late' END AS "Note" FROM raw"""))
+query("sc4_file_encodings", lambda s, d: detect_encodings(s, mixed_folder(s, d)).groupBy("encoding").agg(F.count(F.lit(1)).alias("files")),
+      "SELECT 'utf-8' AS encoding, CAST(2 AS BIGINT) AS files UNION ALL SELECT 'iso-8859-1', 2")
 
 
 def run_counts(spark: SparkSession, folder: str) -> DataFrame:
     work = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
-    result = run_daily(spark, landed(spark, folder), work)
+    result = run_daily(spark, landed(spark, folder), work, null_words=("",))
     return result.as_row(spark).select(
         "status", "rows_extracted", "rows_cleaned", "rows_transformed", "rows_loaded", "rows_rejected",
         "raw_quality_score", "transformed_quality_score")
@@ -503,8 +559,9 @@ query("l10_l12_daily_run", run_counts, upto("silver", f"""SELECT 'QUALITY_FAILUR
 # --- scalar helpers over whole tables ----------------------------------------
 
 query("x18_hash_keys", lambda s, d: commerce.read(s, d, "lineitem").select(
-    text.hash_key(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")).alias("hash_key")),
-    "SELECT sha256(concat_ws('|', l_orderkey, l_linenumber, l_partkey))[1:16] AS hash_key FROM lineitem")
+    text.hash_key(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), digits=16).alias("hash_key"),
+    text.hash_key(F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")).alias("full_key")),
+    "SELECT sha256(concat_ws('|', l_orderkey, l_linenumber, l_partkey))[1:16] AS hash_key, sha256(concat_ws('|', l_orderkey, l_linenumber, l_partkey)) AS full_key FROM lineitem")
 query("x19_x26_formats", lambda s, d: commerce.read(s, d, "customer").select(
     "c_custkey", numbers.format_currency(F.col("c_acctbal").cast("decimal(12,2)")).alias("balance"),
     numbers.format_percent((F.col("c_custkey") % 1000) / 1000).alias("share")),

@@ -65,7 +65,7 @@ star_query("m20_m21_month_over_month", measures.month_over_month, with_lines(
   {share(f"({dollars('(m.rev - p.rev)')})", f"({dollars('p.rev')})")} AS mom_growth
   FROM months m LEFT JOIN months p ON p.year * 12 + p.month = m.year * 12 + m.month - 1""", MONTHS))
 star_query("m23_product_rank", measures.product_rank, with_lines(
-    f"""SELECT product_id, {money('revenue')} AS revenue, CAST(RANK() OVER (ORDER BY SUM(revenue_c) DESC) AS INTEGER) AS product_sales_rank
+    f"""SELECT product_id, {money('revenue')} AS revenue, CAST(RANK() OVER (ORDER BY SUM(revenue_c) DESC) AS BIGINT) AS product_sales_rank
   FROM lines GROUP BY product_id"""))
 star_query("m24_lifetime_value", measures.lifetime_value, with_lines(
     f"SELECT customer_id, {money('revenue')} AS lifetime_value FROM lines GROUP BY customer_id"))
@@ -77,7 +77,24 @@ star_query("m25_retention", measures.retention, with_lines(
   FROM active a GROUP BY year) AS y""", "active AS (SELECT DISTINCT year, customer_key FROM lines)"))
 star_query("u1_returning_customers", lambda s: measures.returning_customers(s, 1998), with_lines(
     "SELECT customer_key FROM lines WHERE year = 1998 INTERSECT SELECT customer_key FROM lines WHERE year = 1997"))
-star_query("m26_revenue_forecast", forecast.revenue_forecast)
+star_query("m26_revenue_forecast", forecast.revenue_forecast, with_lines(
+    """SELECT series, make_date(CAST((last + h) // 12 AS INTEGER), CAST((last + h) % 12 + 1 AS INTEGER), 1) AS month_start,
+  round(center, 2) AS forecast, round(center - width, 2) AS lower_bound, round(center + width, 2) AS upper_bound FROM (
+  SELECT *, level + h * trend + terms[(n + h - 1) % 12 + 1] AS center, 1.959963984540054::DOUBLE * sqrt(squares / n) * sqrt(1 + (h - 1) * 0.3::DOUBLE * 0.3::DOUBLE) AS width
+  FROM ended, (SELECT unnest(range(1, 7)) AS h) AS ahead) AS told""",
+    "summed AS (SELECT category_name AS series, year * 12 + month - 1 AS m, CAST(SUM(revenue_c) AS DOUBLE) / 100 AS v FROM lines GROUP BY ALL)",
+    "spans AS (SELECT series, min(m) AS first, max(m) AS last FROM summed GROUP BY series)",
+    """filled AS (SELECT g.series, g.last, g.m - g.first AS i, coalesce(s.v, 0) AS v
+  FROM (SELECT series, first, last, unnest(range(first, last + 1)) AS m FROM spans) AS g LEFT JOIN summed s ON s.series = g.series AND s.m = g.m)""",
+    "firsts AS (SELECT series, last, avg(v) AS start, list(v ORDER BY i) AS head, (SELECT count(*) FROM filled f WHERE f.series = h.series) AS n FROM filled h WHERE i < 12 GROUP BY series, last)",
+    """smooth AS (
+  SELECT series, last, n, CAST(0 AS BIGINT) AS i, start AS level, CAST(0 AS DOUBLE) AS trend, list_transform(range(1, 13), lambda k: coalesce(head[k] - start, 0)) AS terms, CAST(0 AS DOUBLE) AS squares FROM firsts
+  UNION ALL
+  SELECT series, last, n, i + 1, now, 0.05::DOUBLE * (now - level) + 0.95::DOUBLE * trend,
+    list_transform(terms, lambda t, k: CASE WHEN k = i % 12 + 1 THEN 0.2::DOUBLE * (v - now) + 0.8::DOUBLE * t ELSE t END),
+    squares + (v - (level + trend + terms[i % 12 + 1])) ** 2
+  FROM (SELECT s.*, f.v, 0.3::DOUBLE * (f.v - terms[s.i % 12 + 1]) + 0.7::DOUBLE * (level + trend) AS now FROM smooth s JOIN filled f ON f.series = s.series AND f.i = s.i) AS moved)""",
+    "ended AS (SELECT * FROM smooth WHERE i = n)").replace("WITH lines", "WITH RECURSIVE lines", 1))
 
 # --- reports -----------------------------------------------------------------
 

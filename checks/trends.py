@@ -38,13 +38,13 @@ star_query("w6_top_customers_view", trends.top_customers_view, with_lines(
     f"""SELECT customer_id, customer_name, segment AS market_segment,
   {totals('sales gross_sales', 'revenue total_revenue', 'profit total_profit', 'quantity total_units_purchased')},
   {big(ORDERS)} AS total_orders, {AOV} AS average_order_value, {MARGIN} AS customer_profit_margin,
-  CAST(DENSE_RANK() OVER (ORDER BY SUM(revenue_c) DESC) AS INTEGER) AS customer_revenue_rank
+  CAST(DENSE_RANK() OVER (ORDER BY SUM(revenue_c) DESC) AS BIGINT) AS customer_revenue_rank
   FROM lines GROUP BY customer_id, customer_name, segment"""))
 star_query("w7_top_products_view", trends.top_products_view, with_lines(
     f"""SELECT product_id, product_name, category_name, sub_category,
   {totals('sales gross_sales', 'revenue total_revenue', 'profit total_profit', 'quantity total_quantity_sold')},
   {AVG_DISCOUNT} AS average_discount_rate, {MARGIN} AS product_profit_margin,
-  CAST(DENSE_RANK() OVER (PARTITION BY category_name ORDER BY SUM(revenue_c) DESC) AS INTEGER) AS category_revenue_rank
+  CAST(DENSE_RANK() OVER (PARTITION BY category_name ORDER BY SUM(revenue_c) DESC) AS BIGINT) AS category_revenue_rank
   FROM lines GROUP BY product_id, product_name, category_name, sub_category"""))
 
 RFM = """metrics AS (SELECT customer_key, customer_id, customer_name, segment AS market_segment,

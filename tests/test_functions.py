@@ -45,8 +45,8 @@ def test_postal_code_keeps_zeros(spark):
 
 def test_hash_key(spark):
     df = spark.createDataFrame([("US-1", "F-1"), ("US-1", None)], "a string, b string")
-    keys = [r[0] for r in df.select(text.hash_key(F.col("a"), F.col("b"))).collect()]
-    assert keys == [hashlib.sha256(s.encode()).hexdigest()[:16] for s in ("US-1|F-1", "US-1|None")]
+    for digits, key in ((64, text.hash_key(F.col("a"), F.col("b"))), (16, text.hash_key(F.col("a"), F.col("b"), digits=16))):
+        assert [r[0] for r in df.select(key).collect()] == [hashlib.sha256(s.encode()).hexdigest()[:digits] for s in ("US-1|F-1", "US-1|None")]
     with pytest.raises(ValueError):
         text.hash_key()
 

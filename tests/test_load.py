@@ -248,3 +248,24 @@ def test_run_modes_and_failures(spark, csv_file, tmp_path):
 def test_join_date_keeps_every_fact(loaded):
     tables = loaded[0].tables()
     assert join_date(tables[FACTS], tables["dim_date"]).count() == 3
+
+
+def test_ids_of_any_length(spark):
+    from tillstar.operators.dedup import first_per_key, row_order
+    ids = ["10000000000000000000", "9000000000000000000", "0000000000000000000000012", "7", "x1", "12345678901234567890123456"]
+    df = spark.createDataFrame([(i, k) for i in ids for k in ("all", i)], "`Row ID` string, k string")
+    order = row_order(df)
+    assert [r["Row ID"] for r in df.where("k = 'all'").orderBy(*[c.asc_nulls_last() for c, _ in order]).collect()] == [
+        "7", "0000000000000000000000012", "9000000000000000000", "10000000000000000000", "12345678901234567890123456", "x1"]
+    assert first_per_key(df.where("k = 'all' and `Row ID` like '%0000000000'"), ("k",), order).first()["Row ID"] == "9000000000000000000"
+
+
+def test_a_run_leaves_no_scratch(spark, csv_file, tmp_path):
+    from pathlib import Path
+
+    from tillstar.session import scratch_root
+    root = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(root.iterdir())
+    assert run(spark, csv_file, str(tmp_path / "work")).rows_loaded == 3
+    assert run(spark, str(tmp_path / "nothing.csv"), str(tmp_path / "work")).status == "FAILED"
+    assert set(root.iterdir()) == before

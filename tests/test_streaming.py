@@ -1,4 +1,5 @@
 from tests.conftest import ROWS, changed, write_csv
+from tillstar.schemas import RAW_COLUMNS
 from tillstar.sources.store import FACTS, Store
 from tillstar.streaming.arrivals import load_arrivals
 
@@ -16,8 +17,9 @@ def test_arrivals_are_loaded_once(spark, tmp_path):
     catch_up("c1")
     store = Store(spark, warehouse)
     assert store.read(FACTS).count() == 2
-    write_csv(landing / "day2.csv", [ROWS[2], changed(ROWS[0], Row_ID="9", Order_ID="CA-2023-1", Order_Date="2023-01-01",
-                                                      Ship_Date="2023-01-02", Segment="Home Office")])
+    # the columns of the second file come in the opposite order
+    day2 = [ROWS[2], changed(ROWS[0], Row_ID="9", Order_ID="CA-2023-1", Order_Date="2023-01-01", Ship_Date="2023-01-02", Segment="Home Office")]
+    write_csv(landing / "day2.csv", [r[::-1] for r in day2], columns=RAW_COLUMNS[::-1])
     catch_up("c1")
     assert store.read(FACTS).count() == 4
     assert store.read("dim_customer").filter("customer_id = 'CS-12345'").count() == 2

@@ -115,12 +115,15 @@ def category_description(category: Column, sub_category: Column) -> Column:
     return F.concat(F.lit("Product Category: "), category, F.lit(", Sub-Category: "), sub_category)
 
 
-def hash_key(*fields: Column) -> Column:
-    """16 hex digits of the SHA-256 of the fields joined by ``|``; NULL reads ``None``."""
+def hash_key(*fields: Column, digits: int = 64) -> Column:
+    """SHA-256 of the fields joined by ``|`` in hex; NULL reads ``None``.
+
+    ``digits=16`` gives the short form, which some 10**9 rows may share by chance.
+    """
     if not fields:
         raise ValueError("a key needs at least one field")
     texts = [F.coalesce(f.cast("string"), F.lit("None")) for f in fields]
-    return F.left(F.sha2(F.concat_ws("|", *texts), 256), F.lit(16))
+    return F.left(F.sha2(F.concat_ws("|", *texts), 256), F.lit(digits))
 
 
 def clean_string(text: Column) -> Column:

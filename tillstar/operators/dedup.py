@@ -7,23 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillstar.session import materialize
 
-def numeric_id(text: Column) -> Column:
-    """Number of an all-digit id, else NULL.
 
-    Tested by pattern first: a failing ``try_cast`` builds an exception per row.
+def id_order(text: Column, descending: bool = False) -> list[tuple[Column, bool]]:
+    """Ids of digits by number, whatever their length; after them the others by text.
+
+    Without leading zeros, the longer of two numbers is the larger, and text order decides among equally
+    long ones. Equal numbers written differently go by text.
     """
-    return F.when(text.rlike(r"^[0-9]{1,18}\z"), text.try_cast("bigint"))
+    digits = text.rlike(r"^[0-9]+\z")
+    plain = F.regexp_replace(text, "^0+(?=[0-9])", "")
+    return [(F.when(digits, F.char_length(plain)), descending), (F.when(digits, plain), descending), (text, descending)]
 
 
 Order = Sequence[tuple[Column, bool]]  # expression and whether it descends; NULL comes last
 
 
 def row_order(df: DataFrame, row_id: str = "Row ID") -> Order:
-    """File order: numeric row ids by number, others by text."""
+    """File order: row ids of digits by number, others by text."""
     if row_id not in df.columns:
         return [(F.col(f"`{c}`"), False) for c in df.columns]
-    return [(numeric_id(F.col(f"`{row_id}`")), False), (F.col(f"`{row_id}`"), False)]
+    return id_order(F.col(f"`{row_id}`"))
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
@@ -55,8 +60,8 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Column, name: str = "_is_duplicate") -> DataFrame:
     """Flag every row of a key but its first in ``order``, which must be unique.
 
-    The first value per repeated key is aggregated and joined back; the rows of
-    one key are never brought together. NULL keys count as equal.
+    The first value per repeated key is aggregated with map-side combine and joined back;
+    in that join AQE splits a key with very many rows. NULL keys count as equal.
     """
     named = {k: f"_key_{i}" for i, k in enumerate(keys)}
     firsts = (
@@ -65,6 +70,7 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], order: Column, name: str
         .filter("_copies > 1")
         .drop("_copies")
     )
+    firsts = materialize(firsts)  # else its grouping is the join's partitioning and a large key cannot be split
     same = None
     for k, a in named.items():
         test = F.col(f"`{k}`").eqNullSafe(F.col(a))

@@ -17,9 +17,6 @@ from tillstar.operators.dedup import first_per_key, row_order
 from tillstar.operators.ranking import with_row_number
 from tillstar.schemas import DIM_CATEGORY, DIM_DATE, DIM_PRODUCT, DIM_REGION
 
-# Fixed value: the longest product name that is kept.
-NAME_LENGTH = 500
-
 
 def assign_keys(rows: DataFrame, key: str, natural: Sequence[str], existing: DataFrame) -> DataFrame:
     """Number ``rows`` by ``natural`` after the largest ``key`` of ``existing``."""
@@ -91,11 +88,15 @@ def new_regions(existing: DataFrame, batch: DataFrame) -> DataFrame:
     return _stamped(assign_keys(unseen, "region_key", PLACE, existing), DIM_REGION)
 
 
-def new_products(existing: DataFrame, batch: DataFrame, categories: DataFrame) -> DataFrame:
-    """New products from their first row; the category is NULL if unknown."""
+def new_products(existing: DataFrame, batch: DataFrame, categories: DataFrame, name_length: int | None = None) -> DataFrame:
+    """New products from their first row; the category is NULL if unknown.
+
+    Names are kept whole; ``name_length`` cuts them for a target with a limited column.
+    """
+    name = F.col("Product Name") if name_length is None else F.left(F.col("Product Name"), F.lit(name_length))
     rows = batch.na.drop(subset=["Product ID", "Product Name"])
     first = first_per_key(rows, ("Product ID",), row_order(rows)).select(
-        F.col("Product ID").alias("product_id"), F.left(F.col("Product Name"), F.lit(NAME_LENGTH)).alias("product_name"),
+        F.col("Product ID").alias("product_id"), name.alias("product_name"),
         F.col("Category").alias("category_name"), F.col("Sub-Category").alias("sub_category"))
     unseen = first.join(existing, "product_id", "left_anti")
     keyed = unseen.join(categories.select("category_key", "category_name", "sub_category"),

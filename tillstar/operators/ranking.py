@@ -93,5 +93,5 @@ def with_rank(df: DataFrame, value: str, name: str, *, within: Sequence[str] = (
         rank = F.col(before) - F.col("_start") + 1
     else:
         rank = F.col(before) + 1
-    ranks = places.select(*within, value, rank.cast("int").alias(name))
+    ranks = places.select(*within, value, rank.cast("bigint").alias(name))
     return stored.join(ranks, [*within, value]).select(*df.columns, name)

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillstar.operators.dedup import Order, first_per_key, numeric_id
+from tillstar.operators.dedup import Order, first_per_key, id_order
 from tillstar.operators.dimensions import assign_keys
 from tillstar.session import materialize
 
@@ -81,7 +81,7 @@ def latest_first(changes: DataFrame) -> Order:
     """Latest date first; among equals the last row of the file."""
     order = [(F.col("order_date"), True)]
     if "row_id" in changes.columns:
-        order += [(numeric_id(F.col("row_id")), True), (F.col("row_id"), True)]
+        order += id_order(F.col("row_id"), descending=True)
     return order
 
 

@@ -1,54 +1,48 @@
-"""Monthly revenue forecast by exponential smoothing, one series per group."""
+"""Monthly revenue forecast by additive exponential smoothing, one series per group."""
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillstar.plans.star import Star
 
-_SCHEMA = "series string, month_start date, forecast double, lower_bound double, upper_bound double"
-
 
 def revenue_forecast(star: Star, by: str = "category_name", months: int = 6, season: int = 12,
-                     z: float = 1.959963984540054) -> DataFrame:
+                     z: float = 1.959963984540054, level: float = 0.3, trend: float = 0.05, seasonal: float = 0.2) -> DataFrame:
     """The next ``months`` months of each series with 95 % bounds.
 
-    Spark reduces the lines to one row per series and month, so a group holds as
-    many rows as there are months; the series are smoothed in parallel.
+    Level, trend and season are smoothed with fixed weights over all months from the first to the last, months without
+    sales being zero. One rule holds for every length: the level starts as the mean of the first season, as far as
+    there is one, a seasonal term as what its first month differs from that, or zero before it is seen, and the trend at zero. The spread
+    is the root of the mean squared one-month error. A group holds a row per month; the smoothing is an
+    aggregation over that array, so it runs inside Spark.
     """
-    weights = (0.3, 0.05, 0.2)  # level, trend, season
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("month_start")
-        days = pd.DatetimeIndex(pd.to_datetime(pdf["month_start"]))
-        full = pd.date_range(days[0], days[-1], freq="MS")
-        values = pd.Series(pdf["revenue"].astype(float).to_numpy(), index=days).reindex(full, fill_value=0.0).to_numpy()
-        a, b, g = weights
-        cycle = season if len(values) >= 2 * season else 1
-        level = float(values[:cycle].mean())
-        trend = float((values[cycle:2 * cycle].mean() - level) / cycle) if len(values) >= 2 * cycle and cycle > 1 else 0.0
-        seasonal = [float(v - level) for v in values[:cycle]] if cycle > 1 else [0.0]
-        errors = []
-        for i, value in enumerate(values):
-            expected = level + trend + seasonal[i % cycle]
-            errors.append(value - expected)
-            old = level
-            level = a * (value - seasonal[i % cycle]) + (1 - a) * (level + trend)
-            trend = b * (level - old) + (1 - b) * trend
-            if cycle > 1:
-                seasonal[i % cycle] = g * (value - level) + (1 - g) * seasonal[i % cycle]
-        spread = float(pd.Series(errors[cycle:] or errors).std(ddof=0))
-        ahead = pd.date_range(full[-1], periods=months + 1, freq="MS")[1:]
-        rows = []
-        for h, month in enumerate(ahead, start=1):
-            center = level + h * trend + seasonal[(len(values) + h - 1) % cycle]
-            width = z * spread * (1 + (h - 1) * a * a) ** 0.5
-            rows.append((pdf["series"].iloc[0], month.date(), center, center - width, center + width))
-        return pd.DataFrame(rows, columns=["series", "month_start", "forecast", "lower_bound", "upper_bound"])
-
-    monthly = star.order_totals((by, "year", "month"), ("revenue",)).groupBy(F.col(by).alias("series"), "year", "month").agg(
+    monthly = star.order_totals((by, "year", "month"), ("revenue",)).groupBy(F.col(by).alias("series"), (F.col("year") * 12 + F.col("month") - 1).alias("m")).agg(
         F.sum("revenue").cast("double").alias("revenue"))
-    dated = monthly.select("series", F.make_date("year", "month", F.lit(1)).alias("month_start"), "revenue")
-    return dated.groupBy("series").applyInPandas(smooth, _SCHEMA)
+    series = monthly.groupBy("series").agg(
+        F.min("m").alias("first"), F.max("m").alias("last"), F.map_from_entries(F.collect_list(F.struct("m", "revenue"))).alias("known"))
+    values = F.transform(F.sequence("first", "last"), lambda m: F.coalesce(F.try_element_at("known", m), F.lit(0.0)))
+    filled = series.select("series", "last", values.alias("values")).withColumn("head", F.slice("values", 1, season))
+    started = filled.withColumn("start", F.aggregate("head", F.lit(0.0), lambda s, v: s + v) / F.size("head"))
+    terms = F.transform(F.sequence(F.lit(1), F.lit(season)), lambda k: F.coalesce(F.get("head", k - 1) - F.col("start"), F.lit(0.0)))
+    begin = F.struct(F.col("start").alias("level"), F.lit(0.0).alias("trend"), terms.alias("terms"), F.lit(0.0).alias("squares"), F.lit(0).alias("i"))
+
+    def step(s: Column, v: Column) -> Column:
+        place = s["i"] % season
+        term = F.get(s["terms"], place)
+        error = v - (s["level"] + s["trend"] + term)
+        now = level * (v - term) + (1 - level) * (s["level"] + s["trend"])
+        return F.struct(
+            now.alias("level"), (trend * (now - s["level"]) + (1 - trend) * s["trend"]).alias("trend"),
+            F.transform(s["terms"], lambda t, k: F.when(k == place, seasonal * (v - now) + (1 - seasonal) * t).otherwise(t)).alias("terms"),
+            (s["squares"] + error * error).alias("squares"), (s["i"] + 1).alias("i"))
+
+    ended = started.select("series", "last", F.aggregate("values", begin, step).alias("s")).select("series", "last", "s.*")
+    ahead = ended.withColumn("h", F.explode(F.sequence(F.lit(1), F.lit(months))))
+    center = F.col("level") + F.col("h") * F.col("trend") + F.get("terms", ((F.col("i") + F.col("h") - 1) % season).cast("int"))
+    width = z * F.sqrt(F.col("squares") / F.col("i")) * F.sqrt(1 + (F.col("h") - 1) * level * level)
+    month = F.col("last") + F.col("h")
+    return ahead.select(
+        "series", F.make_date(F.floor(month / 12).cast("int"), (month % 12 + 1).cast("int"), F.lit(1)).alias("month_start"),
+        F.round(center, 2).alias("forecast"), F.round(center - width, 2).alias("lower_bound"), F.round(center + width, 2).alias("upper_bound"))

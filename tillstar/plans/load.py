@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 import uuid
 from dataclasses import dataclass, field
@@ -13,10 +14,12 @@ from tillstar.operators import clean as cleaning
 from tillstar.operators import dimensions, facts, features, quality, scd2
 from tillstar.plans.star import WarehouseStar
 from tillstar.plans.summaries import refresh_summaries
-from tillstar.session import materialize
+from tillstar.session import materialize, own_scratch
 from tillstar.sources import files
 from tillstar.sources.store import FACTS, Store
 
+log = logging.getLogger(__name__)
+
 
 def load_dimensions(store: Store, batch: DataFrame) -> dict[str, int]:
     """Extend all dimensions; returns the new rows per table."""
@@ -77,6 +80,7 @@ class RunResult:
     rows_transformed: int = 0
     rows_loaded: int = 0
     rows_rejected: int = 0
+    rows_malformed: int = 0
     raw_quality_score: float = 100.0
     transformed_quality_score: float = 100.0
     stage_seconds: dict[str, float] = field(default_factory=dict)
@@ -90,7 +94,7 @@ class RunResult:
     def as_row(self, spark: SparkSession) -> DataFrame:
         names = [n for n in self.__dataclass_fields__]
         schema = ("run_id string, status string, start_time timestamp, end_time timestamp, rows_extracted bigint, "
-                  "rows_cleaned bigint, rows_transformed bigint, rows_loaded bigint, rows_rejected bigint, "
+                  "rows_cleaned bigint, rows_transformed bigint, rows_loaded bigint, rows_rejected bigint, rows_malformed bigint, "
                   "raw_quality_score double, transformed_quality_score double, stage_seconds map<string,double>, errors array<string>")
         return spark.createDataFrame([tuple(getattr(self, n) for n in names)], schema)
 
@@ -100,9 +104,9 @@ class QualityFailure(Exception):
 
 
 class _Run:
-    def __init__(self, spark: SparkSession, path: str, work: str, on_critical: str, resolve: str, idempotent: bool) -> None:
+    def __init__(self, spark: SparkSession, path: str, work: str, on_critical: str, resolve: str, idempotent: bool, null_words: tuple[str, ...]) -> None:
         self.spark, self.path, self.work = spark, path, work.rstrip("/")
-        self.on_critical, self.resolve, self.idempotent = on_critical, resolve, idempotent
+        self.on_critical, self.resolve, self.idempotent, self.null_words = on_critical, resolve, idempotent, null_words
         self.result = RunResult(run_id=uuid.uuid4().hex)
 
     def timed(self, stage: str, action):
@@ -115,7 +119,7 @@ class _Run:
     def check(self, df: DataFrame, stage: str) -> float:
         results = materialize(quality.validate(df))
         report = quality.quality_report(results, stage)
-        files.write_report(report, f"{self.work}/reports", self.result.run_id)
+        files.write_report(report, f"{self.work}/reports", self.result.run_id, stage)
         row = report.select("failed", "quality_score").first()
         if row.failed:
             self.result.errors.append(f"{stage} validation has {row.failed} critical failures")
@@ -125,7 +129,10 @@ class _Run:
         return row.quality_score
 
     def extract(self) -> DataFrame:
-        raw = materialize(files.extract(self.spark, self.path))
+        malformed = f"{self.work}/malformed/run_id={self.result.run_id}"
+        files.malformed_rows(self.spark, self.path).write.mode("overwrite").parquet(malformed)
+        self.result.rows_malformed = self.spark.read.schema("record string").parquet(malformed).count()
+        raw = materialize(files.extract(self.spark, self.path, null_words=self.null_words))
         self.result.rows_extracted = raw.count()
         if not self.result.rows_extracted:
             raise files.SourceError(f"no order lines in {self.path}")
@@ -149,8 +156,8 @@ class _Run:
         store.create_tables()
         self.result.rows_loaded = load_all(store, silver, self.resolve, self.idempotent)[FACTS]
         tables = store.tables()
-        checks = quality.referential_integrity(silver, tables["dim_customer"], tables["dim_product"], tables["dim_region"])
-        files.write_report(quality.quality_report(checks, "post_load"), f"{self.work}/reports", self.result.run_id)
+        checks = materialize(quality.referential_integrity(silver, tables["dim_customer"], tables["dim_product"], tables["dim_region"]))
+        files.write_report(quality.quality_report(checks, "post_load"), f"{self.work}/reports", self.result.run_id, "post_load")
 
     def stages(self, mode: str) -> None:
         result = self.result
@@ -167,7 +174,7 @@ class _Run:
 
 
 def run(spark: SparkSession, path: str, work: str, mode: str = "full", on_critical: str = "flag",
-        resolve: str = "current", idempotent: bool = False) -> RunResult:
+        resolve: str = "current", idempotent: bool = False, null_words: tuple[str, ...] = files.NULL_WORDS) -> RunResult:
     """Read, check, clean, transform, check again and load.
 
     ``mode`` may stop after the first checks (``validate``) or before loading
@@ -176,12 +183,14 @@ def run(spark: SparkSession, path: str, work: str, mode: str = "full", on_critic
     """
     if mode not in ("full", "validate", "dry-run"):
         raise ValueError(f"unknown mode {mode!r}")
-    job = _Run(spark, path, work, on_critical, resolve, idempotent)
+    job = _Run(spark, path, work, on_critical, resolve, idempotent, null_words)
     try:
-        job.stages(mode)
+        with own_scratch(spark):
+            job.stages(mode)
     except QualityFailure:
         pass
     except Exception as error:
+        log.exception("run %s failed", job.result.run_id)
         job.result.status = "FAILED"
         job.result.errors.append(str(error))
     job.result.end_time = dt.datetime.now(dt.timezone.utc)
@@ -193,5 +202,6 @@ def run_daily(spark: SparkSession, path: str, work: str, **options) -> RunResult
     result = run(spark, path, work, **options)
     if result.status != "FAILED":
         store = Store(spark, f"{work.rstrip('/')}/warehouse")
-        refresh_summaries(store, WarehouseStar(store.tables()))
+        with own_scratch(spark):
+            refresh_summaries(store, WarehouseStar(store.tables()))
     return result

@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from tillstar.plans import analytics
 from tillstar.plans.star import Star
 
-MAX_PAGE = 100
 
 
-def page(df: DataFrame, sort: list[Column], number: int = 1, size: int = 20) -> DataFrame:
-    """Rows of page ``number`` (from 1). ``sort`` should end in a unique column."""
-    if number < 1 or not 1 <= size <= MAX_PAGE:
+def page(df: DataFrame, sort: list[Column], number: int = 1, size: int = 20, largest: int = 100) -> DataFrame:
+    """Rows of page ``number`` (from 1). ``sort`` should end in a unique column.
+
+    A page of more than ``largest`` rows is refused. All rows up to the page's end meet in one task; deep pages
+    are for :func:`page_after`.
+    """
+    if number < 1 or not 1 <= size <= largest:
         raise ValueError(f"page {number} of size {size}")
     return df.orderBy(*sort).offset((number - 1) * size).limit(size)
 

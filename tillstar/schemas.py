@@ -13,63 +13,90 @@ RAW_COLUMNS = (
     "Sales", "Quantity", "Discount", "Profit",
 )
 
-MONEY = T.DecimalType(12, 2)
-DISCOUNT = T.DecimalType(5, 2)
-MARGIN = T.DecimalType(6, 4)
 
 # Everything is read as text, so that codes keep their leading zeros.
 RAW = T.StructType([T.StructField(name, T.StringType()) for name in RAW_COLUMNS])
 
-_TYPED = {
-    "Order Date": T.DateType(),
-    "Ship Date": T.DateType(),
-    "Sales": MONEY,
-    "Quantity": T.IntegerType(),
-    "Discount": DISCOUNT,
-    "Profit": MONEY,
-}
-CLEAN = T.StructType([T.StructField(name, _TYPED.get(name, T.StringType())) for name in RAW_COLUMNS])
-
-
-_TYPES = {
-    "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "date": T.DateType(),
-    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
-    "money": MONEY, "discount": DISCOUNT, "margin": MARGIN,
-}
-
-
-def _table(columns: str) -> T.StructType:
-    pairs = [column.split() for column in columns.split(",")]
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
-
+INT, LONG, TEXT, DATE, FLAG, TIME = T.IntegerType(), T.LongType(), T.StringType(), T.DateType(), T.BooleanType(), T.TimestampType()
+MONEY, DISCOUNT, MARGIN = T.DecimalType(12, 2), T.DecimalType(5, 2), T.DecimalType(6, 4)
 
-DIM_DATE = _table(
-    "date_key int, full_date date, day_of_week int, day_name string, day_of_month int, day_of_year int, "
-    "week_of_year int, month int, month_name string, quarter int, year int, is_weekend boolean, "
-    "is_holiday boolean, fiscal_quarter int, fiscal_year int"
-)
-DIM_CATEGORY = _table(
-    "category_key bigint, category_id string, category_name string, sub_category string, description string, "
-    "created_at timestamp, updated_at timestamp"
-)
-DIM_REGION = _table(
-    "region_key bigint, country string, region string, state string, city string, postal_code string, "
-    "created_at timestamp, updated_at timestamp"
-)
-DIM_PRODUCT = _table(
-    "product_key bigint, product_id string, product_name string, category_key bigint, sub_category string, "
-    "created_at timestamp, updated_at timestamp"
-)
-DIM_CUSTOMER = _table(
-    "customer_key bigint, customer_id string, customer_name string, segment string, effective_date date, "
-    "expiry_date date, is_current boolean, created_at timestamp, updated_at timestamp"
-)
-FACT_SALES = _table(
-    "sales_key bigint, order_id string, order_date_key int, ship_date_key int, customer_key bigint, "
-    "product_key bigint, region_key bigint, category_key bigint, ship_mode string, sales money, "
-    "quantity int, discount discount, profit money, revenue money, "
-    "profit_margin margin, created_at timestamp, updated_at timestamp, order_year int"
-)
+# Column names and order of the stored tables.
+DIM_DATE = T.StructType([
+    T.StructField("date_key", INT),
+    T.StructField("full_date", DATE),
+    T.StructField("day_of_week", INT),
+    T.StructField("day_name", TEXT),
+    T.StructField("day_of_month", INT),
+    T.StructField("day_of_year", INT),
+    T.StructField("week_of_year", INT),
+    T.StructField("month", INT),
+    T.StructField("month_name", TEXT),
+    T.StructField("quarter", INT),
+    T.StructField("year", INT),
+    T.StructField("is_weekend", FLAG),
+    T.StructField("is_holiday", FLAG),
+    T.StructField("fiscal_quarter", INT),
+    T.StructField("fiscal_year", INT),
+])
+DIM_CATEGORY = T.StructType([
+    T.StructField("category_key", LONG),
+    T.StructField("category_id", TEXT),
+    T.StructField("category_name", TEXT),
+    T.StructField("sub_category", TEXT),
+    T.StructField("description", TEXT),
+    T.StructField("created_at", TIME),
+    T.StructField("updated_at", TIME),
+])
+DIM_REGION = T.StructType([
+    T.StructField("region_key", LONG),
+    T.StructField("country", TEXT),
+    T.StructField("region", TEXT),
+    T.StructField("state", TEXT),
+    T.StructField("city", TEXT),
+    T.StructField("postal_code", TEXT),
+    T.StructField("created_at", TIME),
+    T.StructField("updated_at", TIME),
+])
+DIM_PRODUCT = T.StructType([
+    T.StructField("product_key", LONG),
+    T.StructField("product_id", TEXT),
+    T.StructField("product_name", TEXT),
+    T.StructField("category_key", LONG),
+    T.StructField("sub_category", TEXT),
+    T.StructField("created_at", TIME),
+    T.StructField("updated_at", TIME),
+])
+DIM_CUSTOMER = T.StructType([
+    T.StructField("customer_key", LONG),
+    T.StructField("customer_id", TEXT),
+    T.StructField("customer_name", TEXT),
+    T.StructField("segment", TEXT),
+    T.StructField("effective_date", DATE),
+    T.StructField("expiry_date", DATE),
+    T.StructField("is_current", FLAG),
+    T.StructField("created_at", TIME),
+    T.StructField("updated_at", TIME),
+])
+FACT_SALES = T.StructType([
+    T.StructField("sales_key", LONG),
+    T.StructField("order_id", TEXT),
+    T.StructField("order_date_key", INT),
+    T.StructField("ship_date_key", INT),
+    T.StructField("customer_key", LONG),
+    T.StructField("product_key", LONG),
+    T.StructField("region_key", LONG),
+    T.StructField("category_key", LONG),
+    T.StructField("ship_mode", TEXT),
+    T.StructField("sales", MONEY),
+    T.StructField("quantity", INT),
+    T.StructField("discount", DISCOUNT),
+    T.StructField("profit", MONEY),
+    T.StructField("revenue", MONEY),
+    T.StructField("profit_margin", MARGIN),
+    T.StructField("created_at", TIME),
+    T.StructField("updated_at", TIME),
+    T.StructField("order_year", INT),
+])
 
 TABLES = {
     "dim_date": DIM_DATE,

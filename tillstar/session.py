@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +43,28 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+_scratch: contextvars.ContextVar[str | None] = contextvars.ContextVar("scratch", default=None)
+
+
+@contextlib.contextmanager
+def own_scratch(spark: SparkSession) -> Iterator[str]:
+    """A scratch folder for the stored rows of one run, removed at its end, also after a failure.
+
+    Nothing that is still to be read may depend on rows stored inside.
+    """
+    folder = f"{scratch_root(spark)}/run-{uuid.uuid4().hex}"
+    token = _scratch.set(folder)
+    try:
+        yield folder
+    finally:
+        _scratch.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def store_rows(df: DataFrame) -> str:
-    """Write ``df`` as Parquet to the scratch folder and return the path."""
-    path = f"{scratch_root(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    """Write ``df`` as Parquet to the scratch folder, the run's own if there is one, and return the path."""
+    path = f"{_scratch.get() or scratch_root(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
 

@@ -8,15 +8,16 @@ from pyspark.sql.streaming import StreamingQuery
 from tillstar.operators import clean as cleaning
 from tillstar.operators import features
 from tillstar.plans.load import load_all
-from tillstar.schemas import RAW
-from tillstar.session import materialize
+from tillstar.session import materialize, own_scratch
+from tillstar.sources.files import read_raw
 from tillstar.sources.store import Store
 
 
 def arrivals(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
-    """New CSV files of the landing folder as a stream of text columns."""
+    """Paths of new files of the landing folder as a stream; their content is not read here."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
     return (
-        spark.readStream.schema(RAW).option("header", True).option("maxFilesPerTrigger", files_per_batch).csv(landing)
+        spark.readStream.format("binaryFile").schema(schema).option("maxFilesPerTrigger", files_per_batch).load(landing).select("path")
     )
 
 
@@ -24,16 +25,22 @@ def load_arrivals(spark: SparkSession, landing: str, warehouse: str, checkpoint:
                   files_per_batch: int = 1000) -> StreamingQuery:
     """Start loading whatever has arrived; the query ends when it is caught up.
 
-    A batch may be delivered again after a failure. Dimensions ignore what they
+    A batch is at most ``files_per_batch`` paths, read like any other files: by their own encoding, quotes and
+    column names. A batch may be delivered again after a failure. Dimensions ignore what they
     already hold and facts leave out loaded (order, product) pairs, so a second
     delivery changes nothing.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
+        paths = [r.path for r in batch.collect()]
+        if not paths:
+            return
         store = Store(batch.sparkSession, warehouse)
         store.create_tables()
-        silver = materialize(features.transform(materialize(cleaning.clean(batch))))
-        if not silver.isEmpty():
-            load_all(store, silver, idempotent=True)
+        with own_scratch(batch.sparkSession):
+            rows = read_raw(batch.sparkSession, paths)
+            silver = materialize(features.transform(materialize(cleaning.clean(rows))))
+            if not silver.isEmpty():
+                load_all(store, silver, idempotent=True)
 
     return (
         arrivals(spark, landing, files_per_batch)
