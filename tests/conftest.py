@@ -14,12 +14,12 @@ from tillstar.schemas import RAW, RAW_COLUMNS  # noqa: E402
 from tillstar.session import local_session  # noqa: E402
 
 ROWS = [
-    ("1", "CA-2022-1001", "2022-05-10", "2022-05-14", "Standard Class", "CS-12345", "Alice Smith", "Corporate", "United States",
-     "Los Angeles", "California", "90012", "West", "TEC-PH-10001", "Technology", "Phones", "Logitech Desk Phone", "250.00", "2", "0.0", "50.00"),
-    ("2", "CA-2022-1001", "2022-05-10", "2022-05-14", "Standard Class", "CS-12345", "Alice Smith", "Corporate", "United States",
-     "Los Angeles", "California", "90012", "West", "FUR-CH-10002", "Furniture", "Chairs", "HON Task Chair", "120.00", "1", "0.1", "10.00"),
-    ("3", "CA-2022-1002", "2022-06-15", "2022-06-18", "First Class", "CG-54321", "Bob Johnson", "Consumer", "United States",
-     "New York City", "New York", "10001", "East", "OFF-BI-10003", "Office Supplies", "Binders", "Wilson Ring Binder", "15.50", "5", "0.0", "3.20"),
+    ("1", "ORD-77-1", "2022-05-10", "2022-05-14", "Standard Class", "NL-204", "Nora Lind", "Corporate", "United States",
+     "Los Angeles", "California", "90012", "West", "PH-1", "Technology", "Phones", "Model \"T\", desk phone", "250.00", "2", "0.0", "50.00"),
+    ("2", "ORD-77-1", "2022-05-10", "2022-05-14", "Standard Class", "NL-204", "Nora Lind", "Corporate", "United States",
+     "Los Angeles", "California", "90012", "West", "CH-2", "Furniture", "Chairs", "Oak chair, low back", "120.00", "1", "0.1", "10.00"),
+    ("3", "ORD-77-2", "2022-06-15", "2022-06-18", "First Class", "IM-311", "Ivo Marek", "Consumer", "United States",
+     "New York City", "New York", "10001", "East", "BI-3", "Office Supplies", "Binders", "Ring binder A4", "15.50", "5", "0.0", "3.20"),
 ]
 
 

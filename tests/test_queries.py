@@ -37,3 +37,23 @@ def test_entry(spark):
 def test_forecast_bounds(spark):
     rows = entry_points.queries()["m26_revenue_forecast"](spark, FOLDER).collect()
     assert len(rows) % 6 == 0 and all(r.lower_bound <= r.forecast <= r.upper_bound for r in rows)
+
+
+def test_a_period_reaches_the_files_and_chooses_orders_first(spark):
+    from tillstar.plans import analytics
+    from tillstar.plans.star import SourceStar
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = analytics.monthly_summary(SourceStar(spark, FOLDER), 1997, 3)._jdf.queryExecution().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    physical = plan[plan.index("== Physical Plan =="):]
+    assert "GreaterThanOrEqual(o_orderdate,1997-03-01" in physical and "LessThan(o_orderdate,1997-04-01" in physical
+    # the lines meet the chosen orders below their first aggregation
+    assert physical.index("LeftSemi") > physical.index("HashAggregate")
+
+
+def test_totals_filter_by_key_and_measure(spark):
+    from pyspark.sql import functions as F
+
+    from tillstar.plans.star import SourceStar
+    rows = SourceStar(spark, FOLDER).totals(("product_key",), ("profit",), where=(F.col("product_key") < 10) & (F.col("profit") < 0)).collect()
+    assert rows and all(r.product_key < 10 and r.profit < 0 for r in rows)

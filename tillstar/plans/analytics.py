@@ -6,13 +6,14 @@ from zero. ``None`` as a filter value means no filter.
 
 from __future__ import annotations
 
+import calendar
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions.numbers import ratio
-from tillstar.plans.star import Star
+from tillstar.plans.star import Star, whole_year
 
 _MONEY = ("sales", "revenue", "profit")
 _MONEY_UNITS = (*_MONEY, "quantity")
@@ -51,7 +52,7 @@ def with_month_name(df: DataFrame) -> DataFrame:
 
 def revenue_by_month(star: Star, year: int | None = None) -> DataFrame:
     months = (
-        _equals(star.order_totals(("year", "month"), _MONEY_UNITS), year=year)
+        star.order_totals(("year", "month"), _MONEY_UNITS, whole_year(year))
         .groupBy("year", "month")
         .agg(*[_total(m) for m in _MONEY_UNITS], _orders())
         .withColumn("average_order_value", order_value())
@@ -220,8 +221,10 @@ def in_period(start: dt.date | None, end: dt.date | None) -> Column:
 def sales_summary(star: Star, start: dt.date | None = None, end: dt.date | None = None,
                   region: str | None = None) -> DataFrame:
     """Totals of a period and region as one row."""
-    attributes = ("order_date_key", "order_year", "customer_key", "region")
-    rows = _equals(star.order_totals(attributes, ("revenue", "profit", "quantity")), region=region).filter(in_period(start, end))
+    if start and end and start > end:
+        raise ValueError(f"start {start} is after end {end}")
+    equals = {} if region is None else {"region": region}
+    rows = star.order_totals(("customer_key",), ("revenue", "profit", "quantity"), (start, end), equals)
     totals = count_orders_and_customers(
         star, rows, (), {"revenue": "total_revenue", "profit": "total_profit", "quantity": "total_units_sold"})
     totals = totals.withColumn("avg_order_value", order_value()).withColumn("profit_margin", margin())
@@ -231,9 +234,8 @@ def sales_summary(star: Star, start: dt.date | None = None, end: dt.date | None
 
 def monthly_summary(star: Star, year: int, month: int) -> DataFrame:
     """Four (metric_name, metric_value) rows of one month."""
-    first = year * 10000 + month * 100
-    in_month = F.col("order_date_key").between(first + 1, first + 31) & (F.col("order_year") == year)
-    rows = star.order_totals(("order_date_key", "order_year"), ("revenue", "profit")).filter(in_month)
+    last = calendar.monthrange(year, month)[1]
+    rows = star.order_totals((), ("revenue", "profit"), (dt.date(year, month, 1), dt.date(year, month, last)))
     zero = F.lit(0).cast("decimal(12,2)")
     totals = rows.agg(
         F.coalesce(F.sum("revenue"), zero).alias("revenue"),

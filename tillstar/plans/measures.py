@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions.numbers import safe_divide
 from tillstar.operators.ranking import with_rank
-from tillstar.plans.star import Star
+from tillstar.plans.star import Star, whole_year
 from tillstar.plans.trends import running_total
 
 ADDITIVE = ("sales", "revenue", "profit", "quantity", "discount", "discount_amount", "ship_day")
@@ -169,6 +169,6 @@ def retention(star: Star) -> DataFrame:
 def returning_customers(star: Star, year: int) -> DataFrame:
     """Customers with orders in ``year`` and in the year before."""
     def of(y: int) -> DataFrame:
-        return star.order_totals(("year", "customer_key")).filter(F.col("year") == y).select("customer_key")
+        return star.order_totals(("customer_key",), (), whole_year(y)).select("customer_key")
 
     return of(year).intersect(of(year - 1))

@@ -2,14 +2,15 @@
 
 ``lines`` gives order lines with any attributes of the star; ``order_totals``
 gives one row per order and attribute combination with summed measures. Counting
-its rows per attribute group is the exact number of distinct orders, so no query
-needs COUNT(DISTINCT order_id) over order lines.
+its rows per attribute group is the exact number of distinct orders, so a query
+that counts only orders needs no COUNT(DISTINCT order_id) over order lines.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from abc import ABC, abstractmethod
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,14 @@ _DIMENSIONS = {
 }
 
 
+#: First and last order date, both included; None is open.
+Period = tuple[dt.date | None, dt.date | None]
+
+
+def whole_year(year: int | None) -> Period:
+    return (None, None) if year is None else (dt.date(year, 1, 1), dt.date(year, 12, 31))
+
+
 class Star(ABC):
     """Order lines and their dimensions."""
 
@@ -36,8 +45,12 @@ class Star(ABC):
         """Order lines with ``columns``; ``where`` may use those columns."""
 
     @abstractmethod
-    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
-        """``order_id``, ``attributes``, each measure summed, and ``line_count``."""
+    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = (), period: Period = (None, None),
+                     equals: Mapping[str, object] | None = None) -> DataFrame:
+        """``order_id``, ``attributes``, each measure summed, and ``line_count``.
+
+        Only orders of ``period`` with the values of ``equals`` (attributes of the order) are read and summed.
+        """
 
     @abstractmethod
     def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
@@ -103,8 +116,30 @@ class WarehouseStar(Star):
     def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
         return self.lines(*keys, *measures, where=where).groupBy(*keys).agg(*_sums(measures))
 
-    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
-        return self.totals(("order_id", *attributes), measures)
+    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = (), period: Period = (None, None),
+                     equals: Mapping[str, object] | None = None) -> DataFrame:
+        start, end = period
+        where = F.lit(True)
+        for day, key, compare in ((start, _key(start), "__ge__"), (end, _key(end), "__le__")):
+            if day is not None:
+                where &= getattr(F.col("order_date_key"), compare)(key) & getattr(F.col("order_year"), compare)(day.year)
+        for name, value in (equals or {}).items():
+            where &= F.col(name) == value
+        keys, extra = ("order_id", *attributes), ("order_date_key", "order_year", *(equals or {}))
+        lines = self.lines(*dict.fromkeys((*keys, *measures, *extra)), where=where)
+        return lines.groupBy(*keys).agg(*_sums(measures))
+
+
+def _key(day: dt.date | None) -> int | None:
+    return None if day is None else day.year * 10000 + day.month * 100 + day.day
+
+
+def _dated(start: dt.date | None, end: dt.date | None) -> Column | None:
+    """The period as a range of ``o_orderdate`` itself, which reaches the files."""
+    midnight = lambda day: F.lit(dt.datetime.combine(day, dt.time()))
+    parts = [] if start is None else [F.col("o_orderdate") >= midnight(start)]
+    parts += [] if end is None else [F.col("o_orderdate") < midnight(end + dt.timedelta(days=1))]
+    return None if not parts else parts[0] if len(parts) == 1 else parts[0] & parts[1]
 
 
 class SourceStar(Star):
@@ -139,18 +174,34 @@ class SourceStar(Star):
         df = commerce.order_lines(self.spark, self.folder, *columns)
         return df if where is None else df.filter(where)
 
-    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
+    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = (), period: Period = (None, None),
+                     equals: Mapping[str, object] | None = None) -> DataFrame:
         """Sum the lines per order before anything about the order is joined.
 
         ``orders`` and ``customer`` then meet one row per order instead of every
-        line, and the join reuses the partitioning of the aggregation.
+        line, and the join reuses the partitioning of the aggregation. With a period or values the orders
+        are chosen first, by conditions that reach the files, and only their lines are summed.
         """
         spark, folder = self.spark, self.folder
+        equals = {name: value for name, value in (equals or {}).items() if value is not None}
+        dated = _dated(*period)
         line_level = [a for a in attributes if not commerce.is_order_level(a)]
         order_level = [a for a in attributes if commerce.is_order_level(a)]
+        if not all(map(commerce.is_order_level, equals)):
+            raise ValueError("only attributes of an order choose orders")
         lines = self._priced((*line_level, *measures))
+        if dated is not None or equals:
+            orders = commerce.read(spark, folder, "orders")
+            if dated is not None:
+                orders = orders.filter(dated)
+            chosen = commerce.join_tables(spark, folder, orders, commerce.tables_for(tuple(equals)) - {"orders"})
+            for name, value in equals.items():
+                chosen = chosen.filter(commerce.expression(name) == value)
+            lines = lines.join(chosen.select(F.col("o_orderkey").alias("chosen_order")), F.col("l_orderkey") == F.col("chosen_order"), "left_semi")
         per_order = self._summed(lines, [F.col("l_orderkey")], line_level, measures)
         joined = commerce.join_tables(spark, folder, per_order, commerce.tables_for(tuple(order_level)))
+        if dated is not None and "orders" in commerce.tables_for(tuple(order_level)):
+            joined = joined.filter(dated)
         return joined.select(
             commerce.expression("order_id"), *line_level, *[commerce.expression(c) for c in order_level],
             *measures, "line_count",
@@ -159,7 +210,7 @@ class SourceStar(Star):
     def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
         lines = self._priced((*keys, *measures))
         if where is not None:
-            lines = lines.withColumns({m: commerce.expression(m) for m in measures}).filter(where)
+            lines = lines.withColumns({c: commerce.expression(c) for c in (*keys, *measures)}).filter(where)
         return self._summed(lines, [], keys, measures)
 
     def _priced(self, columns: Sequence[str]) -> DataFrame:
@@ -195,8 +246,13 @@ class SlicedStar(Star):
         df = self._limited(self.star.lines(*self._with(columns)))
         return (df if where is None else df.filter(where)).select(*columns)
 
-    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = ()) -> DataFrame:
-        df = self._limited(self.star.order_totals(self._with(attributes), measures))
+    def order_totals(self, attributes: Sequence[str], measures: Sequence[str] = (), period: Period = (None, None),
+                     equals: Mapping[str, object] | None = None) -> DataFrame:
+        fixed = {n: v for n, v in self.values.items() if self.star.order_fixes(n) or isinstance(self.star, WarehouseStar)}
+        rest = [n for n in self.values if n not in fixed]
+        df = self.star.order_totals(list(dict.fromkeys((*attributes, *rest))), measures, period, {**fixed, **(equals or {})})
+        for name in rest:
+            df = df.filter(F.col(name) == self.values[name])
         return df.select("order_id", *attributes, *measures, "line_count")
 
     def totals(self, keys: Sequence[str], measures: Sequence[str] = (), where: Column | None = None) -> DataFrame:
