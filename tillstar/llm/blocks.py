@@ -52,6 +52,13 @@ def groups(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Itera
         yield pa.Table.from_batches(rest)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, for work that needs several times the memory of its input."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def matrix(column: pa.ChunkedArray | pa.Array, kind: type) -> np.ndarray:
     """Rows of equally long binaries as a matrix."""
     values = column.to_pylist()

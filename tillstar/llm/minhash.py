@@ -79,7 +79,7 @@ def sign(documents: DataFrame) -> DataFrame:
 
     def run(batches):
         cache = WordHashes()
-        for batch in batches:
+        for batch in blocks.slices(batches):
             ids = batch.column("doc_id").to_pylist()
             sets = [shingle_set(cache.of(words_of(t.as_py()))) for t in batch.column("text")]
             live = [i for i, s in enumerate(sets) if len(s) and ids[i] is not None]
@@ -105,7 +105,7 @@ def _sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches):
         cache = WordHashes()
-        for batch in batches:
+        for batch in blocks.slices(batches):
             batch = batch.filter(pa.array(chosen.passes(batch.column("place").to_numpy(zero_copy_only=False))))
             sets = [shingle_set(cache.of(words_of(t.as_py()))).tobytes() for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([xxhash.xxh3_64_intdigest(s) - 2**63 for s in sets], pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "node", "shingles"])

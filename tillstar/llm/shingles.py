@@ -13,7 +13,7 @@ PLACES = np.random.default_rng(5).integers(0, 2**63, 64, dtype=np.uint64) * np.u
 class WordHashes(dict):
     """Word to 64-bit hash. Emptied when full, so memory stays bounded; only speed depends on it."""
 
-    LIMIT = 400_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         value = self[word] = xxhash.xxh3_64_intdigest(word)
