@@ -20,10 +20,10 @@ class IdFilter:
         place = F.pmod(F.xxhash64(F.col(column).cast("long")), F.lit(1 << bits))
         words = (
             ids.select(place.alias("place")).groupBy(F.shiftright("place", 5).alias("word"))
-            .agg(F.expr("bit_or(shiftleft(1L, cast(place & 31L as int)))").alias("set")).toPandas()
+            .agg(F.expr("bit_or(shiftleft(1L, cast(place & 31L as int)))").alias("set")).toArrow()
         )
         bitmap = np.zeros(1 << (bits - 5), np.uint32)
-        bitmap[words["word"].to_numpy(np.int64)] = words["set"].to_numpy(np.uint64).astype(np.uint32)
+        bitmap[words["word"].to_numpy()] = words["set"].to_numpy().astype(np.uint32)
         self.bits, self.bitmap = bits, spark.sparkContext.broadcast(bitmap)
 
     def place(self, column: str = "doc_id"):

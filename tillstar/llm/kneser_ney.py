@@ -161,8 +161,9 @@ def scores(documents: DataFrame, model: DataFrame) -> DataFrame:
     rows = documents.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), "text", F.xxhash64("text").alias("row"))
     parts = []
     for s in range(shards):
-        part = model.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == s).toPandas().sort_values("key")
-        shard = spark.sparkContext.broadcast((part["key"].to_numpy(), part["value"].to_numpy()))
+        part = model.where(F.pmod(F.xxhash64("key"), F.lit(shards)) == s).toArrow()  # 16 bytes a term
+        order = np.argsort(part["key"].to_numpy())
+        shard = spark.sparkContext.broadcast((part["key"].to_numpy()[order], part["value"].to_numpy()[order]))
 
         def run(batches, shard=shard, base=-np.log(256) if s == 0 else 0.0):
             keys, values = shard.value
