@@ -128,7 +128,7 @@ def tokenised(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
     content = tokens.shared_tokenizer(documents.sparkSession, tokenizer)
 
     def run(batches):
-        encoder = tokens.Encoder(content.value)
+        encoder = tokens.worker_encoder(content.value)
         shard, at = TaskContext.get().partitionId(), 0
         for batch in batches:
             ids = encoder.encode(batch.column("text").to_pylist())

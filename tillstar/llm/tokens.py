@@ -8,14 +8,18 @@ white space, or blanks in a row, is encoded as a whole.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
 END = 0
-_ODD = re.compile("^ |  |\n |[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+#: White space other than the blank and the line feed.
+_ODD = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+#: Below it, what is a letter or a digit is the same in all versions of Unicode.
+_SETTLED = "\u0250"
+#: Marks that behind letters make one pre-token of their own; the apostrophe may begin an ending such as 's.
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def default_path() -> str:
@@ -30,34 +34,82 @@ def shared_tokenizer(spark: SparkSession, path: str | None = None) -> Broadcast:
         return spark.sparkContext.broadcast(source.read())
 
 
+def _plain(text: str) -> bool:
+    """Whether every blank stands between two characters that are no white space, but for one at the end."""
+    return not (text[0] == " " or "  " in text or "\n " in text or any(c in text for c in _ODD))
+
+
 class Encoder:
-    """Texts to little-endian ids of ``kind``, two bytes each if the vocabulary allows, else four."""
+    """Texts to little-endian ids of ``kind``, two bytes each if the vocabulary allows, else four.
 
-    LIMIT = 300_000
-    STEP = 256
+    Ids are kept per word and, since words mostly differ in marks around a few stems, per pre-token of new words. Both
+    stores are emptied when full.
+    """
+
+    WORDS, STEMS = 500_000, 400_000
+    STEP = 1024
 
     def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import regex
+        from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # control strings inside a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.cut = regex.compile(PATTERN).findall
         self.later: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn_stems(self, new: list[str]) -> None:
+        """Stems of a blank and letters are encoded in one string; where one ends, the next one's blank begins a new pre-token."""
+        run = [s for s in new if s[0] == " " and s[1:].isalpha()]
+        if run:
+            coded = self.tokenizer.encode("".join(run), add_special_tokens=False)
+            of = np.array(coded.word_ids, np.int64)
+            ids, cuts = np.array(coded.ids, self.kind), np.searchsorted(of, np.arange(len(run) + 1)).tolist()
+            if of[-1] != len(run) - 1:
+                raise ValueError("the tokenizer cuts words otherwise than expected")
+            self.stems.update((s, ids[a:b].tobytes()) for s, a, b in zip(run, cuts, cuts[1:]))
+        rest = [s for s in new if s not in self.stems]
+        self.stems.update(zip(rest, self._raw(rest)))
+
     def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        new = [w for w in words if w not in known]
-        known.update(zip(new, self._raw([before + w for w in new])))
+        words = words.difference(known)
+        one, two, more, rest = [], [], [], []
+        for w in words:
+            if not w or max(w) >= _SETTLED:
+                rest.append(w)
+            elif w.isalpha():
+                one.append(w)
+            elif (stem := w.rstrip(_MARKS)).isalpha():
+                two.append((w, before + stem, w[len(stem):]))
+            else:
+                more.append((w, self.cut(before + w)))
+        wanted = {before + w for w in one}
+        wanted.update(s for _, s, _ in two)
+        wanted.update(s for _, _, s in two)
+        wanted.update(s for _, cut in more for s in cut)
+        stems = self.stems
+        self._learn_stems(list(wanted.difference(stems)))
+        for w in one:
+            known[w] = stems[before + w]
+        for w, stem, marks in two:
+            known[w] = stems[stem] + stems[marks]
+        for w, cut in more:
+            known[w] = b"".join([stems[s] for s in cut])
+        known.update(zip(rest, self._raw([before + w for w in rest])))
 
     def _step(self, texts: list[str]) -> list[bytes]:
-        for known in (self.later, self.first):
-            if len(known) > self.LIMIT:
+        for known, limit in ((self.later, self.WORDS), (self.first, self.WORDS), (self.stems, self.STEMS)):
+            if len(known) > limit:
                 known.clear()
-        parts = [None if not t or _ODD.search(t) else t.split(" ") for t in texts]
+        parts = [t.split(" ") if t and _plain(t) else None for t in texts]
         self._learn(self.first, {p[0] for p in parts if p}, "")
         self._learn(self.later, set().union(*(p[1:] for p in parts if p)), " ")
         later, first = self.later.__getitem__, self.first
@@ -69,6 +121,17 @@ class Encoder:
         return [ids + end for k in range(0, len(texts), self.STEP) for ids in self._step([t or "" for t in texts[k : k + self.STEP]])]
 
 
+_workers: dict[str, Encoder] = {}
+
+
+def worker_encoder(content: str) -> Encoder:
+    """The encoder of this Python worker, with what it has learned in earlier tasks; at most one is kept."""
+    if content not in _workers:
+        _workers.clear()
+        _workers[content] = Encoder(content)
+    return _workers[content]
+
+
 def kind_of(content: str) -> np.dtype:
     return Encoder(content).kind
 
