@@ -46,8 +46,8 @@ class Encoder:
     stores are emptied when full.
     """
 
-    WORDS, STEMS = 500_000, 400_000
-    STEP = 1024
+    WORDS, STEMS = 200_000, 250_000
+    STEP = 512
 
     def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
