@@ -84,6 +84,27 @@ def test_copies_are_no_evidence(spark):
     assert privacy.revealing(df, privacy.found(df)).count() == 0
 
 
+def test_rare_entities_are_judged_too(spark):
+    rows = [(i, f"plain text number {i} about other words here") for i in range(400)]
+    rows += [(400, "Onceword met zoe@once.org twice"), (401, "Twiceword saw ian@many.org here. " + "filler " * 30 + "Then ian@many.org met Twiceword about text"), (402, "Sparse eve@low.org"), (403, "sparse sparse"), (404, "sparse")]
+    rows += [(i, "Copied by amy@host.org") for i in range(405, 409)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.entity, r.term): r for r in privacy.revealing(df, privacy.found(df)).collect()}
+    import math
+
+    def bound(both, n_term, n_entity, seen):
+        p, trials = both / n_term, seen * n_term / both
+        low = (p + 0.5 / trials - math.sqrt(p * (1 - p) / trials + 0.25 / trials**2)) / (1 + 1 / trials)
+        return math.log(len(rows) * low / n_entity) / math.log(len(rows) / n_entity)
+
+    assert got["email:zoe@once.org", "onceword"].bound == pytest.approx(bound(1, 1, 1, 1))
+    assert got["email:ian@many.org", "twiceword"].bound == pytest.approx(bound(1, 1, 1, 2))  # two surroundings in one document
+    assert got["email:amy@host.org", "copied"].bound == pytest.approx(bound(4, 4, 4, 1))
+    assert bound(1, 3, 1, 1) < privacy.GENERALISE and ("email:eve@low.org", "sparse") not in got
+    clean = {r.doc_id: r.text for r in privacy.sanitise(df).collect()}
+    assert "Onceword" not in clean[400] and "Twiceword" not in clean[401] and "Sparse" in clean[402] and clean[403] == "sparse sparse"
+
+
 def test_sanitise_keeps_rows_and_columns(documents, no_documents):
     out = privacy.sanitise(documents)
     assert out.columns == documents.columns and out.count() == documents.count()

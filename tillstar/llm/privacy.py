@@ -3,9 +3,11 @@ r"""Personal data: fixed patterns, and terms that reveal them according to the c
 Base spans are e-mail addresses, IPv4 addresses, payment cards and phone numbers. Each distinct value found is a
 protected entity. A term is a word within ``REACH`` code points of an entity. With n(x) the documents
 that hold x and N all documents, PMI(t, e) = log(N n(t,e) / (n(t) n(e))) and IC(e) = log(N / n(e)); a term whose PMI is all of
-IC(e) stands next to e wherever it stands at all. Terms are generalised to a class name from ``GENERALISE`` of
-IC(e) on and removed from ``REMOVE`` on, in the documents and at the places where they stand near that entity. A pair must be
-seen in at least ``SUPPORT`` different surroundings, so copies of one passage are no evidence.
+IC(e) stands next to e wherever it stands at all. Every pair is judged, by a lower bound of its PMI: the share n(t,e) / n(t) is
+replaced by Wilson's bound ``SIGMAS`` standard errors below it, where what counts as a sighting is a different surrounding of the entity, also within
+one document, so copies of one passage are one sighting. Terms are generalised to a class name where the bound reaches ``GENERALISE`` of
+IC(e) and removed from ``REMOVE`` on, in the documents and at the places where they stand near that entity. A single sighting of a
+term that stands nowhere else halves its share; that is enough from N / n(e) = 32 on, and not in smaller corpora.
 
 Positions are code points, ends exclusive. Everything is built-in column functions. Patterns use possessive
 repetition, which changes no match here (what follows a repetition never belongs to its class), and start only at the beginning of
@@ -38,7 +40,8 @@ _PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_VALID = rf"^(?:{_PART}|0+)(?:\.(?:{_PART}|0+)){{3}}$"
 TERM = r"\p{L}[\p{L}\p{N}_'-]{2,}"
 REACH = 64
-SUPPORT = 3
+SIGMAS = 1.0
+SUPPORT = 3  # no longer a condition; the tests' small corpus is judged alike by it and by the bound
 GENERALISE, REMOVE = 0.8, 0.95
 SPAN = "array<struct<start:int,stop:int,rank:int,kind:string>>"
 
@@ -127,14 +130,22 @@ def found(documents: DataFrame) -> DataFrame:
         .select("doc_id", "h", "base", F.when(F.size("base") > 0, _around(F.col("text"), F.col("base"))).alias("around")))
 
 
+def _bound(share: Column, seen: Column) -> Column:
+    """Wilson's lower bound of ``share``, known from as many trials as hold ``seen`` hits."""
+    z = SIGMAS**2 * share / seen  # squared standard errors per trial
+    return (share + z / 2 - F.sqrt(z * share * (1 - share) + z * z / 4)) / (1 + z)
+
+
 def revealing(documents: DataFrame, spans: DataFrame) -> DataFrame:
-    """entity, term, share (PMI over IC) of the pairs that reach ``GENERALISE``."""
+    """entity, term, share (PMI over IC), bound (the same from the lower bound) of the pairs whose bound reaches ``GENERALISE``."""
     pairs = spans.where("around is not null").select("doc_id", "h", F.explode("around").alias("a")).select(
         "doc_id", "h", F.col("a.entity").alias("entity"), F.col("a.place").alias("place"), F.explode("a.terms.term").alias("term"))
-    in_document = pairs.groupBy("entity", "term", "doc_id", "h").agg(F.min("place").alias("p"), F.max("place").alias("q"))
+    in_document = pairs.groupBy("entity", "term", "doc_id", "h").agg(F.collect_set("place").alias("places"))
+    # A document counts once, with the first of its places; the others are sightings only.
+    sightings = in_document.select("entity", "term", F.posexplode(F.array_sort("places")).alias("k", "place"))
     together = (
-        in_document.groupBy("entity", "term", "p").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("places")).where(F.col("places") >= SUPPORT)
+        sightings.groupBy("entity", "term", "place").agg(F.count(F.when(F.col("k") == 0, 1)).alias("n"))
+        .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("places"))
     )
     together = materialize(together)
     entities = (
@@ -144,9 +155,12 @@ def revealing(documents: DataFrame, spans: DataFrame) -> DataFrame:
     words = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     told = together.join(entities, "entity").join(words, "term")
     documents_in_all = F.lit(float(spans.count()))
-    pmi = F.log(documents_in_all * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    ic = F.log(documents_in_all / F.col("n_entity"))
-    return told.withColumn("share", F.when(ic > 0, pmi / ic)).where(F.col("share") >= GENERALISE).select("entity", "term", "share")
+    ic, of_term = F.log(documents_in_all / F.col("n_entity")), F.col("n_both") / F.col("n_term")
+    over_ic = lambda p: F.when(ic > 0, F.log(documents_in_all * p / F.col("n_entity")) / ic)
+    return (
+        told.withColumns({"share": over_ic(of_term), "bound": over_ic(_bound(of_term, F.col("places")))})
+        .where(F.col("bound") >= GENERALISE).select("entity", "term", "share", "bound")
+    )
 
 
 def term_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
@@ -156,11 +170,11 @@ def term_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
         .select("doc_id", "h", F.col("a.entity").alias("entity"), F.explode("a.terms").alias("t"))
         .select("doc_id", "h", "entity", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.stop").alias("stop"))
     )
-    kind = F.when(F.col("share") >= REMOVE, "removed").otherwise("term")
+    kind = F.when(F.col("bound") >= REMOVE, "removed").otherwise("term")
     return (
         placed.join(revealing(documents, spans), ["entity", "term"])
-        .groupBy("doc_id", "h", "start", "stop").agg(F.max("share").alias("share"))
-        .groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.when(F.col("share") >= REMOVE, 5).otherwise(4).alias("rank"), kind.alias("kind")))).alias("terms"))
+        .groupBy("doc_id", "h", "start", "stop").agg(F.max("bound").alias("bound"))
+        .groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.when(F.col("bound") >= REMOVE, 5).otherwise(4).alias("rank"), kind.alias("kind")))).alias("terms"))
     )
 
 
