@@ -105,6 +105,23 @@ def test_rare_entities_are_judged_too(spark):
     assert "Onceword" not in clean[400] and "Twiceword" not in clean[401] and "Sparse" in clean[402] and clean[403] == "sparse sparse"
 
 
+def test_revealing_terms_go_from_the_whole_document(spark):
+    gap = "filler words in between " * 40
+    rows = [(i, f"{gap} plain text number {i}") for i in range(200)]
+    rows += [(200, f"Onceword met zoe@once.org. {gap} Then Onceword left. {gap} ONCEWORD and Faraway."), (201, f"{gap} Other"), (None, f"Nullword of leo@null.org {gap} nullword.")]
+    rows += [(202, " ".join(f"w{k} alpha" for k in range(3000)) + " tail@long.org " + gap + "Endword")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in privacy.sanitise(df).collect()}
+    assert clean[200] == f"[TERM] [TERM] [EMAIL]. {gap} [TERM] [TERM] [TERM]. {gap} [TERM] [TERM] [TERM]."
+    assert clean[None] == f"[TERM] of [EMAIL] {gap} [TERM]." and clean[201] == rows[201][1] and clean[202].endswith(f" [EMAIL] {gap}[TERM]")
+
+
+def test_matches_of_long_texts(spark):
+    for text in ("", "   ", "".join(f"ab{k}😀 " for k in range(privacy.RUN * 2 + 1)), "abc " * privacy.RUN, "x" * 3 + " y"):
+        got = spark.createDataFrame([(text,)], "text string").select(privacy.matches(privacy.F.col("text"), "[a-z]{2,}[0-9]*").alias("m")).first().m
+        assert [(m.start, m.hit) for m in got] == [(m.start(), m[0]) for m in re.finditer("[a-z]{2,}[0-9]*", text)]
+
+
 def test_sanitise_keeps_rows_and_columns(documents, no_documents):
     out = privacy.sanitise(documents)
     assert out.columns == documents.columns and out.count() == documents.count()

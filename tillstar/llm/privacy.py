@@ -1,12 +1,12 @@
 r"""Personal data: fixed patterns, and terms that reveal them according to the corpus.
 
 Base spans are e-mail addresses, IPv4 addresses, payment cards and phone numbers. Each distinct value found is a
-protected entity. A term is a word within ``REACH`` code points of an entity. With n(x) the documents
-that hold x and N all documents, PMI(t, e) = log(N n(t,e) / (n(t) n(e))) and IC(e) = log(N / n(e)); a term whose PMI is all of
+protected entity. A term is a word anywhere in a document that holds the entity. With n(x) the documents
+that hold x, n(t,e) those that hold both, and N all documents, PMI(t, e) = log(N n(t,e) / (n(t) n(e))) and IC(e) = log(N / n(e)); a term whose PMI is all of
 IC(e) stands next to e wherever it stands at all. Every pair is judged, by a lower bound of its PMI: the share n(t,e) / n(t) is
-replaced by Wilson's bound ``SIGMAS`` standard errors below it, where what counts as a sighting is a different surrounding of the entity, also within
-one document, so copies of one passage are one sighting. Terms are generalised to a class name where the bound reaches ``GENERALISE`` of
-IC(e) and removed from ``REMOVE`` on, in the documents and at the places where they stand near that entity. A single sighting of a
+replaced by Wilson's bound ``SIGMAS`` standard errors below it, where what counts as a sighting is a different surrounding of the entity (``REACH`` code points on both sides): each that has the
+term within it, and one for a document that has it elsewhere. So copies of one passage are one sighting. Terms are generalised to a class name where the bound reaches ``GENERALISE`` of
+IC(e) and removed from ``REMOVE`` on, wherever they stand in the documents that hold that entity; documents without it stay as they are. A single sighting of a
 term that stands nowhere else halves its share; that is enough from N / n(e) = 32 on, and not in smaller corpora.
 
 Positions are code points, ends exclusive. Everything is built-in column functions. Patterns use possessive
@@ -20,6 +20,8 @@ columns it was given and works on copies of the two it needs, so no name can cla
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,7 @@ _PART = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_VALID = rf"^(?:{_PART}|0+)(?:\.(?:{_PART}|0+)){{3}}$"
 TERM = r"\p{L}[\p{L}\p{N}_'-]{2,}"
 REACH = 64
+RUN = 128
 SIGMAS = 1.0
 SUPPORT = 3  # no longer a condition; the tests' small corpus is judged alike by it and by the bound
 GENERALISE, REMOVE = 0.8, 0.95
@@ -67,11 +70,18 @@ def _valid(kind: str, hit: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often a lambda inside uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    """All leftmost matches as (start, hit): the gaps between them come from splitting at the same pattern."""
+    """All leftmost matches as (start, hit): the gaps between them come from splitting at the same pattern.
+
+    Taken in runs of ``RUN``, as adding to an array copies it.
+    """
     gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
+    start = lambda at: F.struct(at.alias("at"), F.array().cast("array<struct<start:int,hit:string>>").alias("out"))
 
     def step(acc: Column, p: Column) -> Column:
         at = acc["at"] + F.char_length(p["gap"])
@@ -79,7 +89,13 @@ def matches(text: Column, pattern: str) -> Column:
             (at + F.char_length(p["hit"])).alias("at"),
             F.concat(acc["out"], F.array(F.struct(at.alias("start"), p["hit"].alias("hit")))).alias("out")))
 
-    return F.aggregate(pairs, start, step)["out"]
+    def runs(pairs: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(pairs), F.lit(1)), F.lit(RUN))
+        return F.aggregate(firsts, F.array(start(F.lit(0))), lambda done, first: F.concat(
+            done, F.array(F.aggregate(F.slice(pairs, first, RUN), start(F.element_at(done, -1)["at"]), step))))
+
+    pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
+    return F.flatten(F.transform(_let(pairs, runs), lambda run: run["out"]))
 
 
 def _spans_of(text: Column, rank: int, kind: str) -> Column:
@@ -101,14 +117,23 @@ def _by_place(spans: Column) -> Column:
     return F.transform(keyed, lambda s: F.struct(s["start"], s["stop"], s["rank"], s["kind"]))
 
 
+def _terms(text: Column, first: Column) -> Column:
+    """The terms of ``text``, which starts at ``first``, with their places."""
+    return F.transform(matches(text, TERM), lambda m: F.struct(
+        (first + m["start"]).alias("start"), (first + m["start"] + F.char_length(m["hit"])).alias("stop"), F.lower(m["hit"]).alias("term")))
+
+
+def _apart(terms: Column, spans: Column) -> Column:
+    return F.filter(terms, lambda t: ~F.exists(spans, lambda o: (o["start"] < t["stop"]) & (t["start"] < o["stop"])))
+
+
 def _around(text: Column, spans: Column) -> Column:
-    """Per span its value and the terms that lie wholly within reach of it, with their places."""
+    """Per span its value, its surroundings and the terms that lie wholly within them."""
     size = F.char_length(text)
 
     def side(first: Column, last: Column) -> Column:
         """Terms in [first, last); one that goes on beyond the far end is left out by the caller."""
-        return F.transform(matches(F.substr(text, first + 1, F.greatest(last - first, F.lit(0))), TERM), lambda m: F.struct(
-            (first + m["start"]).alias("start"), (first + m["start"] + F.char_length(m["hit"])).alias("stop"), F.lower(m["hit"]).alias("term")))
+        return _terms(F.substr(text, first + 1, F.greatest(last - first, F.lit(0))), first)
 
     def one(s: Column) -> Column:
         low, high = F.greatest(s["start"] - REACH, F.lit(0)), F.least(s["stop"] + REACH, size)
@@ -117,17 +142,31 @@ def _around(text: Column, spans: Column) -> Column:
         after = F.filter(side(s["stop"], high), lambda t: (t["stop"] < high) | (high == size))
         entity = F.concat(s["kind"], F.lit(":"), F.when(s["kind"] == "email", F.lower(value)).when(s["kind"] == "ip", value).otherwise(F.regexp_replace(value, "[^0-9]", "")))
         return F.struct(entity.alias("entity"), F.xxhash64(F.substr(text, low + 1, s["start"] - low), F.substr(text, s["stop"] + 1, high - s["stop"])).alias("place"),
-                        F.filter(F.concat(before, after), lambda t: ~F.exists(spans, lambda o: (o["start"] < t["stop"]) & (t["start"] < o["stop"]))).alias("terms"))
+                        F.transform(_apart(F.concat(before, after), spans), lambda t: t["term"]).alias("terms"))
 
     return F.transform(spans, one)
 
 
+def _entities(around: Column) -> Column:
+    """Each entity of a document once, with the least of its surroundings."""
+    by_entity = F.array_sort(F.transform(around, lambda a: F.struct(a["entity"].alias("entity"), a["place"].alias("place"))))
+    return _let(by_entity, lambda all_: F.filter(all_, lambda x, i: (i == 0) | (F.get(all_, i - 1)["entity"] != x["entity"])))
+
+
 def found(documents: DataFrame) -> DataFrame:
-    """Stored: doc_id, h (hash of the text), base spans and their surroundings, a row per document."""
+    """Stored: doc_id, h (hash of the text), base spans, and, if there are any, surroundings, entities and all terms; a row per document."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    has = F.size("base") > 0
     return materialize(
         documents.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("h"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
-        .select("doc_id", "h", "base", F.when(F.size("base") > 0, _around(F.col("text"), F.col("base"))).alias("around")))
+        .select("doc_id", "h", "base", F.when(has, _around(F.col("text"), F.col("base"))).alias("around"), F.when(has, _apart(_terms(F.col("text"), F.lit(0)), F.col("base"))).alias("terms"))
+        .select("*", _entities(F.col("around")).alias("entities")))
+
+
+def _together(spans: DataFrame) -> DataFrame:
+    """doc_id, h, entity, place, term: each entity of a document with each of its terms, however far apart."""
+    return spans.where("around is not null").select("doc_id", "h", "entities", F.explode(F.array_distinct("terms.term")).alias("term")).select(
+        "doc_id", "h", "term", F.inline("entities"))
 
 
 def _bound(share: Column, seen: Column) -> Column:
@@ -138,21 +177,19 @@ def _bound(share: Column, seen: Column) -> Column:
 
 def revealing(documents: DataFrame, spans: DataFrame) -> DataFrame:
     """entity, term, share (PMI over IC), bound (the same from the lower bound) of the pairs whose bound reaches ``GENERALISE``."""
-    pairs = spans.where("around is not null").select("doc_id", "h", F.explode("around").alias("a")).select(
-        "doc_id", "h", F.col("a.entity").alias("entity"), F.col("a.place").alias("place"), F.explode("a.terms.term").alias("term"))
-    in_document = pairs.groupBy("entity", "term", "doc_id", "h").agg(F.collect_set("place").alias("places"))
-    # A document counts once, with the first of its places; the others are sightings only.
-    sightings = in_document.select("entity", "term", F.posexplode(F.array_sort("places")).alias("k", "place"))
+    near = spans.where("around is not null").select(F.explode("around").alias("a")).select("a.entity", F.explode("a.terms").alias("term"), "a.place", F.lit(0).alias("n"))
+    sightings = _together(spans).select("entity", "term", "place", F.lit(1).alias("n")).unionByName(near)
     together = (
-        sightings.groupBy("entity", "term", "place").agg(F.count(F.when(F.col("k") == 0, 1)).alias("n"))
+        sightings.groupBy("entity", "term", "place").agg(F.sum("n").alias("n"))
         .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("places"))
+        .where("n_both > 0")  # a word that the edge of a surrounding cuts is no term of the text
     )
     together = materialize(together)
     entities = (
-        spans.where("around is not null").select("doc_id", "h", F.explode(F.array_distinct("around.entity")).alias("entity"))
+        spans.where("around is not null").select(F.explode("entities.entity").alias("entity"))
         .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     )
-    words = documents.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), 0))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    words = documents.select(F.explode(F.array_distinct(F.transform(F.regexp_extract_all("text", F.lit(TERM), 0), F.lower))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     told = together.join(entities, "entity").join(words, "term")
     documents_in_all = F.lit(float(spans.count()))
     ic, of_term = F.log(documents_in_all / F.col("n_entity")), F.col("n_both") / F.col("n_term")
@@ -165,16 +202,15 @@ def revealing(documents: DataFrame, spans: DataFrame) -> DataFrame:
 
 def term_spans(documents: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, h, terms: spans that the corpus adds, a row per document that has any."""
-    placed = (
-        spans.where("around is not null").select("doc_id", "h", F.explode("around").alias("a"))
-        .select("doc_id", "h", F.col("a.entity").alias("entity"), F.explode("a.terms").alias("t"))
-        .select("doc_id", "h", "entity", F.col("t.term").alias("term"), F.col("t.start").alias("start"), F.col("t.stop").alias("stop"))
-    )
+    told = materialize(revealing(documents, spans).select("entity", "term", "bound"))
+    in_document = _together(spans).join(told, ["entity", "term"]).groupBy("doc_id", "h", "term").agg(F.max("bound").alias("bound"))
+    in_document = materialize(in_document).select(F.col("doc_id").alias("d"), F.col("h").alias("g"), F.col("term").alias("w"), "bound")
+    placed = spans.where("around is not null").select("doc_id", "h", F.inline("terms"))
     kind = F.when(F.col("bound") >= REMOVE, "removed").otherwise("term")
+    span = F.struct("start", "stop", F.when(F.col("bound") >= REMOVE, 5).otherwise(4).alias("rank"), kind.alias("kind"))
     return (
-        placed.join(revealing(documents, spans), ["entity", "term"])
-        .groupBy("doc_id", "h", "start", "stop").agg(F.max("bound").alias("bound"))
-        .groupBy("doc_id", "h").agg(F.array_sort(F.collect_list(F.struct("start", "stop", F.when(F.col("bound") >= REMOVE, 5).otherwise(4).alias("rank"), kind.alias("kind")))).alias("terms"))
+        placed.join(in_document, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")) & (F.col("term") == F.col("w")))
+        .groupBy("doc_id", "h").agg(F.array_sort(F.collect_set(span)).alias("terms"))
     )
 
 
