@@ -89,6 +89,17 @@ def test_probabilities_sum_to_one(spark, corpus):
         assert np.exp(each).sum() == pytest.approx(1)
 
 
+def test_odd_trusted_texts_do_not_set_the_threshold(spark):
+    # log perplexity 1.000 to 1.099 per byte, 20 times; one trusted document of three hundred, and one of five, is junk
+    rows = [(i, "en", 100, -100 - (i % 100) / 10) for i in range(299)] + [(299, "en", 100, -600.0)]
+    rows += [(1000 + i, "fr", 100, -100.0 - 2 * i) for i in range(4)] + [(1004, "fr", 100, -600.0), (2000, None, 100, -100.0)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, n_bytes long, log_p double")
+    got = {r.of: r.threshold for r in kn.thresholds(scored, scored.select("doc_id")).collect()}
+    assert all(1.0 < math.log(got[k]) < 2.5 for k in ("en", "fr")) and 1.0 < math.log(got[None]) < 2.5
+    fewer = kn.thresholds(scored.where("doc_id % 3 = 0 or doc_id = 299"), scored.select("doc_id"))
+    assert math.log({r.of: r.threshold for r in fewer.collect()}["en"]) == pytest.approx(math.log(got["en"]), abs=0.02)
+
+
 def test_no_documents_and_no_labels(spark, corpus, no_documents):
     _, docs, labels = corpus
     assert kn.classify(no_documents, labels).count() == 0

@@ -2,7 +2,9 @@
 
 The units are UTF-8 bytes, the order is ``ORDER``, and every language has counts of its own. Trusted documents are those
 labelled good and not toxic; four fifths of them, by hash, train the model, the rest, which it has not seen, give each
-language's threshold as the ``KEEP`` quantile of their perplexity. Documents at or below it are kept.
+language's threshold: the median of their log perplexity and ``FENCE`` times its spread, from the median to the upper quartile. Both
+are interpolated and neither hangs on the extremes, so a few odd trusted texts do not move it, however many are held out. A spread known
+from n documents is averaged with that of all languages, which weighs ``PRIOR`` documents. Documents at or below the threshold are kept.
 
 All n-grams of all training texts are counted. The logarithm of an interpolated probability is a sum of terms that
 each hang on one n-gram or one context (what a seen n-gram adds to backing off), so the table of terms can be cut into shards
@@ -29,7 +31,8 @@ from tillstar.llm.idfilter import IdFilter
 from tillstar.session import materialize
 
 ORDER = 5
-KEEP = 0.999
+FENCE = 10.0
+PRIOR = 10
 SHARD = 4_000_000
 STEP = 1 << 22  # bytes of text whose n-grams are looked up together
 _U = np.uint64
@@ -190,26 +193,26 @@ def scores(documents: DataFrame, model: DataFrame) -> DataFrame:
     return materialize(summed.select("doc_id", "lang", "row", "n_bytes", (F.col("log_p") / F.col("copies")).alias("log_p"), F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_")).drop("_"))
 
 
-def thresholds(scored: DataFrame, held: DataFrame, keep: float = KEEP) -> DataFrame:
-    """lang, threshold: the quantile of the held-out documents' perplexity, over steps of a thousandth of its logarithm."""
+def thresholds(scored: DataFrame, held: DataFrame, fence: float = FENCE) -> DataFrame:
+    """of (a language), threshold: ``fence`` spreads above the median, over steps of a thousandth of the held-out documents' log perplexity."""
     fine = F.ceil(-F.col("log_p") / F.col("n_bytes") * 1000)
     steps = (
         scored.where("n_bytes > 0").join(held.select(F.col("doc_id").alias("d")), F.col("doc_id") == F.col("d"), "left_semi")
         .groupBy("lang", fine.alias("step")).agg(F.count(F.lit(1)).alias("n"))
     )
-    by = W.partitionBy("lang")
-    upto = F.sum("n").over(by.orderBy("step").rowsBetween(W.unboundedPreceding, W.currentRow))
-    return (
-        steps.withColumns({"upto": upto, "all": F.sum("n").over(by)}).where(F.col("upto") >= F.ceil(F.col("all") * keep))
-        .groupBy("lang").agg(F.exp(F.min("step") / 1000).alias("threshold")).withColumnRenamed("lang", "of")
-    )
+    own = materialize(
+        steps.groupBy("lang").agg(F.sum("n").alias("n"), F.percentile("step", F.array(F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q"))
+        .select(F.col("lang").alias("of"), "n", F.col("q")[0].alias("middle"), (F.col("q")[1] - F.col("q")[0]).alias("spread")))
+    every = own.agg((F.sum(F.col("n") * F.col("spread")) / F.sum("n")).alias("usual"))
+    spread = F.greatest(F.lit(1.0), (F.col("n") * F.col("spread") + PRIOR * F.col("usual")) / (F.col("n") + PRIOR))
+    return own.crossJoin(F.broadcast(every)).select("of", F.exp((F.col("middle") + fence * spread) / 1000).alias("threshold"))
 
 
-def classify(documents: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
+def classify(documents: DataFrame, labels: DataFrame, fence: float = FENCE) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity (per byte), threshold, kept per document."""
     ids = trusted_ids(labels)
     scored = scores(documents, terms(counts(documents, ids.where("not held"))))
-    limits = materialize(thresholds(scored, ids.where("held"), keep))
+    limits = materialize(thresholds(scored, ids.where("held"), fence))
     perplexity = F.when(F.col("n_bytes") > 0, F.exp(-F.col("log_p") / F.col("n_bytes")))
     return scored.join(limits, F.col("lang").eqNullSafe(F.col("of")), "left").select(
         "doc_id", "lang", "n_bytes", perplexity.alias("perplexity"), "threshold", F.coalesce(perplexity <= F.col("threshold"), F.lit(True)).alias("kept"))
