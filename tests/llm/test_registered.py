@@ -24,7 +24,7 @@ def test_same_rows(spark, name):
 
 def test_all_are_registered():
     assert [n for n in registered.QUERIES if n != "pipeline"] == sorted((n for n in registered.QUERIES if n != "pipeline"), key=lambda n: int(n[2:].split("_")[0]))
-    assert {n.split("_")[0] for n in registered.QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 11))}
+    assert {n.split("_")[0] for n in registered.QUERIES} == {"pipeline", *(f"op{k}" for k in range(1, 14))}
     assert registered.QUERIES.keys() <= entry_points.queries().keys()
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillstar.llm import op01, op02, op03, op04, op05, op06, op07, op08, op09, op10
+from tillstar.llm import op01, op02, op03, op04, op05, op06, op07, op08, op09, op10, op11, op12, op13
 
 QUERIES = {
     "pipeline": corpus_pipeline.run,
@@ -17,9 +17,15 @@ QUERIES = {
     "op8_configuration_packing": op08.op8_configuration_packing,
     "op9_quality_rules": op09.op9_quality_rules,
     "op10_minhash_near_duplicates": op10.op10_minhash_near_duplicates,
+    "op11_warc_archives": op11.op11_warc_archives,
+    "op12_spelling_variants": op12.op12_spelling_variants,
+    "op13_merkle_manifest": op13.op13_merkle_manifest,
 }
 ORACLES = {
     "op3_pivot_near_duplicates": op03.SQL,
     "op4_chat_prefix_targets": op04.SQL,
     "op10_minhash_near_duplicates": op10.SQL,
+    "op11_warc_archives": op11.SQL,
+    "op12_spelling_variants": op12.SQL,
+    "op13_merkle_manifest": op13.SQL,
 }
