@@ -14,8 +14,8 @@ from checks.registry import query
 from checks.sql_parts import LINES, big, dollars, ratio
 from tillstar.functions import dates, numbers, text
 from tillstar.operators import clean, dedup, dimensions, facts, features, quality, quantiles, scd2
-from tillstar.plans.load import load_all, run_daily
-from tillstar.schemas import TABLES
+from tillstar.plans.load import load_all, load_customers, load_dimensions, load_facts, run_daily
+from tillstar.schemas import REJECTS, TABLES
 from tillstar.session import materialize, scratch_root, store_rows
 from tillstar.sources import commerce
 from tillstar.sources.files import detect_encodings, extraction_metrics, malformed_rows, read_raw
@@ -333,9 +333,11 @@ def priority_changes(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("row_id"))
 
 
-def two_batches(spark: SparkSession, folder: str) -> DataFrame:
+def two_batches(spark: SparkSession, folder: str, late: bool = False) -> DataFrame:
     changes = priority_changes(spark, folder)
     old, new = changes.filter(F.col("order_date") < SPLIT), changes.filter(F.col("order_date") >= SPLIT)
+    if late:
+        old, new = new, old
 
     def step(existing, batch):
         return scd2.scd2_apply_batch(existing, batch, "customer_id", ("customer_name", "segment"), "order_date",
@@ -362,9 +364,29 @@ query("l4_scd2_two_batches", lambda s, d: unstamped(two_batches(s, d)), f"""WITH
 SELECT v1.customer_key, v1.customer_id, v1.customer_name, v1.segment, v1.order_date AS effective_date,
   CAST(added.order_date - 1 AS DATE) AS expiry_date, added.customer_id IS NULL AS is_current FROM v1 LEFT JOIN added USING (customer_id)
 UNION ALL SELECT customer_key, customer_id, customer_name, segment, order_date, NULL, TRUE FROM added""")
-query("q7_scd2_inverted_versions", lambda s, d: plain(quality.inverted_versions(two_batches(s, d))), f"""WITH {CHANGES}, {BATCHES}
-SELECT 'scd2_inverted_interval' AS rule_name, TRUE AS passed, 'warning' AS severity, {big('0')} AS affected_rows,
-  {big('(SELECT COUNT(*) FROM v1) + (SELECT COUNT(*) FROM added)')} AS total_rows""")
+INVERTED = f"""SELECT 'scd2_inverted_interval' AS rule_name, n = 0 AS passed, 'warning' AS severity, {big('n')} AS affected_rows,
+  {big('(SELECT COUNT(*) FROM v1) + (SELECT COUNT(*) FROM added)')} AS total_rows
+  FROM (SELECT COUNT(*) AS n FROM v1 JOIN added USING (customer_id) WHERE added.order_date - 1 < v1.order_date) AS bad"""
+query("q7_scd2_inverted_versions", lambda s, d: plain(quality.inverted_versions(two_batches(s, d))), f"WITH {CHANGES}, {BATCHES} {INVERTED}")
+query("q7_scd2_inverted_versions_late", lambda s, d: plain(quality.inverted_versions(two_batches(s, d, late=True))),
+      f"WITH {CHANGES}, {BATCHES.replace('old AS', 'older AS').replace('new AS', 'old AS', 1).replace('older AS', 'new AS', 1)} {INVERTED}")
+
+
+def late_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer versions after three loads: the newest days first, then older ones that interleave."""
+    changes = priority_changes(spark, folder).withColumnsRenamed({
+        "customer_id": "Customer ID", "customer_name": "Customer Name", "segment": "Segment", "order_date": "Order Date", "row_id": "Row ID"})
+    old, odd = F.col("Order Date") < SPLIT, F.col("Row ID").cast("bigint") % 2 == 1
+    store = Store(spark, f"{scratch_root(spark)}/store-{uuid.uuid4().hex}")
+    store.create_tables()
+    for batch in (changes.where(~old), changes.where(old & odd), changes.where(old & ~odd)):
+        load = store.load()
+        load_customers(load, batch, daily=True)
+        load.commit()
+    return scd2.collapsed(store.read("dim_customer"), "customer_id", ("customer_name", "segment"))
+
+
+query("l4_scd2_late_batches", late_batches, f"WITH {CHANGES}, {HISTORY} SELECT * FROM history")
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,6 +485,39 @@ query("l8_a20_table_counts_after_load", load_counts, upto("silver", f"""SELECT '
   UNION ALL SELECT 'dim_customer', {big('COUNT(*)')} FROM customers UNION ALL SELECT 'dim_product', {big('COUNT(*)')} FROM products
   UNION ALL SELECT 'fact_sales', {big('COUNT(*)')} FROM silver""", *DIMS))
 
+def committed(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of the facts after two named loads, the first one repeated, and one that ended before its commit."""
+    store = Store(spark, f"{scratch_root(spark)}/store-{uuid.uuid4().hex}")
+    store.create_tables()
+    batch = silver(spark, folder)
+    old, new = batch.where(F.col("Order Date") < SPLIT), batch.where(F.col("Order Date") >= SPLIT)
+    for name, rows in (("older", old), ("newer", new), ("older", old)):
+        load_all(store, rows, name=name)
+    broken = store.load("broken")
+    load_dimensions(broken, batch)
+    return store.parts().where("table_name = 'fact_sales'").select("load", "version", "rows", "first_year", "last_year")
+
+
+query("l7_committed_batches", committed, upto("silver", f"""SELECT CASE WHEN od < DATE '{SPLIT}' THEN 'older' ELSE 'newer' END AS load, CAST(1 AS INTEGER) AS version,
+  {big('COUNT(*)')} AS rows, CAST(min(year(od)) AS INTEGER) AS first_year, CAST(max(year(od)) AS INTEGER) AS last_year FROM silver GROUP BY 1"""))
+
+
+def stored_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What a load of lines with defects rejects where the dimensions are those of the intact lines."""
+    store = Store(spark, f"{scratch_root(spark)}/store-{uuid.uuid4().hex}")
+    store.create_tables()
+    known = store.load("dimensions")
+    load_dimensions(known, intact_silver(spark, folder))
+    known.commit()
+    lines = store.load("lines")
+    load_facts(lines, silver(spark, folder))
+    lines.commit()
+    return store.read(REJECTS).select("load", F.col("row_id").alias("line_id"), "reject_reason", "customer_id", "product_id")
+
+
+query("j7_stored_rejects", stored_rejects, upto("silver", """SELECT 'lines' AS load, line_id, reject_reason, s."Customer ID" AS customer_id, s."Product ID" AS product_id
+  FROM resolved JOIN silver s ON s."Row ID" = line_id WHERE reject_reason IS NOT NULL""", *GOOD_DIMS, FALLBACK))
+
 # --- files and the whole run --------------------------------------------------
 
 

@@ -11,7 +11,8 @@ from tillstar.plans.load import load_all, run, run_daily
 from tillstar.plans.star import WarehouseStar, join_date, secured
 from tillstar.plans.summaries import refresh_summaries
 from tillstar.schemas import RAW, TABLES
-from tillstar.sources.store import FACTS, Store, changed_partitions, overwrite_partitions, table_counts
+from tillstar.schemas import FACTS
+from tillstar.sources.store import Store, changed_partitions, overwrite_partitions, table_counts
 
 
 def silver(spark, rows=ROWS):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillstar.functions import dates
-from tillstar.schemas import FACT_SALES
+from tillstar.schemas import FACT_REJECTS, FACT_SALES
 
 _MEASURES = {
     "Sales": "sales", "Quantity": "quantity", "Discount": "discount", "Profit": "profit",
@@ -15,16 +15,30 @@ _MEASURES = {
 FAR_FUTURE = "9999-12-31"
 
 
+def versions_as_of(wanted: DataFrame, versions: DataFrame) -> DataFrame:
+    """``customer_id, day, customer_key, _from, _to``: the version valid on each wanted day of a customer, if any.
+
+    Days and versions are put in one order and the last version is carried forward, so orders and versions of a customer never
+    multiply. Only distinct days are sorted: a customer with very many orders has few of them.
+    """
+    version = F.struct("customer_key", F.col("effective_date").alias("_from"), F.coalesce("expiry_date", F.lit(FAR_FUTURE).cast("date")).alias("_to"))
+    starts = versions.where("effective_date IS NOT NULL").select("customer_id", F.col("effective_date").alias("day"), version.alias("_version"))
+    days = wanted.where("customer_id IS NOT NULL AND day IS NOT NULL").distinct().withColumn("_version", F.lit(None).cast(starts.schema["_version"].dataType))
+    # A version counts from its own first day, so it stands before the day asked for.
+    in_time = Window.partitionBy("customer_id").orderBy("day", F.col("_version").isNull(), "_version").rowsBetween(Window.unboundedPreceding, 0)
+    carried = days.withColumn("_asked", F.lit(True)).unionByName(starts.withColumn("_asked", F.lit(False))).withColumn("_found", F.last("_version", True).over(in_time))
+    valid = F.col("day") <= F.col("_found._to")
+    return carried.where("_asked").select("customer_id", "day", F.when(valid, F.col("_found")).alias("_found")).select("customer_id", "day", "_found.*")
+
+
 def _customer_lookup(lines: DataFrame, customers: DataFrame, resolve: str) -> DataFrame:
     if resolve == "current":
         known = customers.filter("is_current").select("customer_key", F.col("customer_id").alias("_customer_id"))
         return lines.join(known, F.col("Customer ID") == F.col("_customer_id"), "left")
     if resolve == "as_of":
-        versions = customers.select(
-            "customer_key", F.col("customer_id").alias("_customer_id"), F.col("effective_date").alias("_from"),
-            F.coalesce("expiry_date", F.lit(FAR_FUTURE).cast("date")).alias("_to"))
-        valid = (F.col("Customer ID") == F.col("_customer_id")) & F.col("Order Date").between(F.col("_from"), F.col("_to"))
-        return lines.join(versions, valid, "left")
+        known = versions_as_of(lines.select(F.col("Customer ID").alias("customer_id"), F.col("Order Date").alias("day")), customers)
+        known = known.withColumnsRenamed({"customer_id": "_customer_id", "day": "_day"})
+        return lines.join(known, (F.col("Customer ID") == F.col("_customer_id")) & (F.col("Order Date") == F.col("_day")), "left")
     raise ValueError(f"resolve must be 'current' or 'as_of', not {resolve!r}")
 
 
@@ -95,20 +109,34 @@ def fact_rows(resolved: DataFrame) -> DataFrame:
     return full.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_SALES.fields if f.name != "sales_key"])
 
 
+def reject_rows(resolved: DataFrame, load: str) -> DataFrame:
+    """The rejected lines with their natural keys and amounts, to be kept with the name of the ``load``."""
+    named = {"row_id": "Row ID", "order_id": "Order ID", "order_date": "Order Date", "ship_date": "Ship Date", "customer_id": "Customer ID",
+             "product_id": "Product ID", "category_name": "Category", "sub_category": "Sub-Category", "country": "Country", "state": "State",
+             "city": "City", "postal_code": "Postal Code", "sales": "Sales", "quantity": "Quantity", "discount": "Discount", "profit": "Profit"}
+    given = {name: F.col(f"`{c}`") if c in resolved.columns else F.lit(None) for name, c in named.items()}
+    own = {"load": F.lit(load), "reject_reason": F.col("reject_reason"), "rejected_at": F.current_timestamp()}
+    return rejected_lines(resolved).select(*[{**given, **own}[f.name].cast(f.dataType).alias(f.name) for f in FACT_REJECTS.fields])
+
+
+def years_of(rows: DataFrame) -> list[int]:
+    """The order years of a batch, a few literals by which the stored facts are pruned."""
+    return sorted(r[0] for r in rows.select("order_year").distinct().collect())
+
+
 def without_loaded(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """Leave out lines whose (order, product) is in ``facts``, so that a batch may be repeated.
 
-    The product is compared by its stable key; only the affected years are read.
+    The product is compared by its stable key. Give only the facts of :func:`years_of` the rows.
     """
     loaded = facts.select("order_id", "product_key", "order_year")
     return rows.join(loaded, ["order_id", "product_key", "order_year"], "left_anti")
 
 
-def with_sales_keys(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """Unique ``sales_key`` after the largest of ``facts``, given as the rows are written.
+def with_sales_keys(rows: DataFrame, largest: int) -> DataFrame:
+    """Unique ``sales_key`` after ``largest``, given as the rows are written.
 
     The keys leave gaps, which spares a sort of all order lines.
     """
-    largest = facts.agg(F.coalesce(F.max("sales_key"), F.lit(0)).alias("largest")).first().largest
-    keyed = rows.withColumn("sales_key", F.monotonically_increasing_id() + F.lit(int(largest) + 1))
+    keyed = rows.withColumn("sales_key", F.monotonically_increasing_id() + F.lit(largest + 1))
     return keyed.select(*[f.name for f in FACT_SALES.fields])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators.dedup import Order, first_per_key, id_order
 from tillstar.operators.dimensions import assign_keys
+from tillstar.operators.ranking import with_row_number
 from tillstar.session import materialize
 
 
@@ -94,3 +95,70 @@ def apply_customers(existing: DataFrame, batch: DataFrame) -> tuple[DataFrame, D
 def customer_history(batch: DataFrame) -> DataFrame:
     changes = customer_changes(batch)
     return scd2_history(changes, "customer_id", ("customer_name", "segment"), "order_date", latest_first(changes)[1:])
+
+
+def splice(existing: DataFrame, changes: DataFrame, key: str, attributes: Sequence[str], date: str, row: str | None,
+           surrogate: str, largest: int) -> tuple[DataFrame, int]:
+    """Put ``changes`` where their dates belong in the stored versions, however late they come.
+
+    ``existing`` has each version's ``seen`` days. They are taken apart, joined by the changes (per key and day the last row by the number in ``row``
+    counts, the newer one if equal), and runs of equal attributes become versions again. So any order of
+    batches gives the history of all rows at once. A version keeps its surrogate key, also when it now begins earlier or
+    a change cuts it in two; two stored versions never become one, because facts refer to both.
+    A key has at most one row per day, which bounds the windows. Keys follow ``largest``.
+    Returns all versions and how many are new.
+    """
+    names = [f.name for f in existing.schema.fields]
+    days = F.coalesce("seen", F.array(F.struct(F.col("effective_date").alias("day"), F.lit(None).cast("string").alias("row"))))
+    stamp = F.struct(F.col("effective_date").alias("start"), F.col(surrogate).alias("number"), "expiry_date", "is_current", "created_at", "updated_at",
+                     F.struct(*attributes).alias("was"))
+    old = existing.select(key, *attributes, stamp.alias("_stamp"), F.explode(days).alias("_seen")).select(
+        key, *attributes, F.col("_seen.day").alias("_day"), F.col("_seen.row").alias("_row"), F.lit(False).alias("_new"),
+        F.when(F.col("_seen.day") == F.col("_stamp.start"), F.col("_stamp")).alias("_stamp"))
+    told = F.lit(None).cast("string") if row is None else F.col(row).cast("string")
+    new = changes.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(
+        key, *attributes, F.col(date).cast("date").alias("_day"), told.alias("_row"), F.lit(True).alias("_new"),
+        F.lit(None).cast(old.schema["_stamp"].dataType).alias("_stamp"))
+    rank = F.struct(*[e for e, _ in id_order(F.col("_row"))], F.col("_new"))
+    daily = old.unionByName(new).groupBy(key, "_day").agg(
+        F.max_by(F.struct(*attributes, "_row"), rank).alias("_last"), F.max("_stamp").alias("_stamp")).select(key, "_day", "_last.*", "_stamp")
+
+    in_time = Window.partitionBy(key).orderBy("_day")
+    changed = (F.row_number().over(in_time) == 1) | _differs([F.col(a) for a in attributes], [F.lag(a).over(in_time) for a in attributes])
+    runs = daily.withColumn("_changed", changed).withColumn("_run", F.sum(F.col("_changed").cast("int")).over(in_time))
+    stamps = F.count("_stamp").over(Window.partitionBy(key, "_run").orderBy("_day"))
+    starts = F.col("_changed") | (F.col("_stamp").isNotNull() & (stamps > 1))
+    numbered = runs.withColumn("_starts", starts).withColumn("_version", F.sum(F.col("_starts").cast("int")).over(in_time))
+    versions = numbered.groupBy(key, "_version").agg(
+        *[F.first(a).alias(a) for a in attributes], F.min("_day").alias("effective_date"), F.max("_stamp").alias("_stamp"),
+        F.sort_array(F.collect_list(F.struct(F.col("_day").alias("day"), F.col("_row").alias("row")))).alias("seen"))
+    following = F.lead("effective_date").over(Window.partitionBy(key).orderBy("effective_date"))
+    staged = materialize(versions.withColumns({"expiry_date": F.date_sub(following, 1), "is_current": following.isNull()}))
+
+    fresh = with_row_number(staged.where("_stamp IS NULL"), (key, "effective_date"), "_number")
+    now = F.current_timestamp()
+    same = F.struct("expiry_date", "is_current", F.col("effective_date"), F.struct(*attributes)).eqNullSafe(
+        F.struct("_stamp.expiry_date", "_stamp.is_current", "_stamp.start", "_stamp.was"))
+    kept = staged.where("_stamp IS NOT NULL").withColumns({
+        surrogate: F.col("_stamp.number"), "created_at": F.col("_stamp.created_at"), "updated_at": F.when(same, F.col("_stamp.updated_at")).otherwise(now)})
+    added = materialize(fresh.withColumns({surrogate: F.col("_number") + F.lit(largest), "created_at": now, "updated_at": now}))
+    shape = [F.col(f.name).cast(f.dataType).alias(f.name) for f in existing.schema.fields]
+    return kept.select(*shape).unionByName(added.select(*shape)).select(*names), added.count()
+
+
+def splice_customers(existing: DataFrame, lines: DataFrame, largest: int, daily: bool = False) -> tuple[DataFrame, int]:
+    """:func:`splice` for the customers of prepared order lines: of each the latest row, or with ``daily`` the last of every day."""
+    changes = customer_changes(lines)
+    if not daily:
+        changes = first_per_key(changes, ("customer_id",), latest_first(changes))
+    row = "row_id" if "row_id" in changes.columns else None
+    return splice(existing, changes, "customer_id", ("customer_name", "segment"), "order_date", row, "customer_key", largest)
+
+
+def collapsed(versions: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """Versions without surrogate keys: neighbours that :func:`splice` kept apart for their keys, though a correction made them equal, are one."""
+    in_time = Window.partitionBy(key).orderBy("effective_date")
+    first = F.row_number().over(in_time) == 1
+    starts = versions.withColumn("_starts", first | _differs([F.col(a) for a in attributes], [F.lag(a).over(in_time) for a in attributes])).filter("_starts")
+    following = F.lead("effective_date").over(in_time)
+    return starts.select(key, *attributes, "effective_date", F.date_sub(following, 1).alias("expiry_date"), following.isNull().alias("is_current"))

@@ -9,61 +9,69 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillstar.operators import clean as cleaning
 from tillstar.operators import dimensions, facts, features, quality, scd2
 from tillstar.plans.star import WarehouseStar
 from tillstar.plans.summaries import refresh_summaries
+from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, TABLES
 from tillstar.session import materialize, own_scratch
 from tillstar.sources import files
-from tillstar.sources.store import FACTS, Store
+from tillstar.sources.store import Load, Store
 
 log = logging.getLogger(__name__)
 
 
-def load_dimensions(store: Store, batch: DataFrame) -> dict[str, int]:
+def load_dimensions(load: Load, batch: DataFrame, daily: bool = False) -> dict[str, int]:
     """Extend all dimensions; returns the new rows per table."""
-    tables = store.tables()
     added = {}
     for name, build in (
-        ("dim_date", lambda: dimensions.new_dates(tables["dim_date"], batch)),
-        ("dim_category", lambda: dimensions.new_categories(tables["dim_category"], batch)),
-        ("dim_region", lambda: dimensions.new_regions(tables["dim_region"], batch)),
+        ("dim_date", lambda: dimensions.new_dates(load.read("dim_date"), batch)),
+        ("dim_category", lambda: dimensions.new_categories(load.read("dim_category"), batch)),
+        ("dim_region", lambda: dimensions.new_regions(load.read("dim_region"), batch)),
+        ("dim_product", lambda: dimensions.new_products(load.read("dim_product"), batch, load.read("dim_category"))),
     ):
-        added[name] = _extend(store, name, build())
-    snapshot, inserted = scd2.apply_customers(tables["dim_customer"], batch)
-    store.replace("dim_customer", snapshot)
-    added["dim_customer"] = inserted.count()
-    added["dim_product"] = _extend(
-        store, "dim_product", dimensions.new_products(tables["dim_product"], batch, store.read("dim_category")))
+        added[name] = load.append(name, build())
+    added["dim_customer"] = load_customers(load, batch, daily)
     return added
 
 
-def _extend(store: Store, table: str, rows: DataFrame) -> int:
-    stored = materialize(rows)
-    count = stored.count()
-    if count:
-        store.append(table, stored)
-    return count
+def load_customers(load: Load, batch: DataFrame, daily: bool = False) -> int:
+    """Splice the customers of ``batch`` into their history; only the buckets they fall into are read and written."""
+    table, key = "dim_customer", "customer_id"
+    ids = batch.where("`Customer ID` IS NOT NULL").select(F.col("Customer ID").alias(key))
+    buckets = load.buckets(table, ids, key)
+    existing = load.read_buckets(table, buckets, CUSTOMER_HISTORY)
+    versions, added = scd2.splice_customers(existing, batch, load.largest(table), daily)
+    if buckets is None or buckets:
+        load.swap_buckets(table, buckets, versions, key)
+    return added
 
 
-def load_facts(store: Store, batch: DataFrame, resolve: str = "current", idempotent: bool = False) -> tuple[int, int]:
-    """Append the resolved lines; returns how many were loaded and how many rejected."""
-    resolved = materialize(facts.resolve_keys(batch, store.tables(), resolve))
-    loaded = store.read(FACTS)
+def load_facts(load: Load, batch: DataFrame, resolve: str = "current", idempotent: bool = False) -> tuple[int, int]:
+    """Append the resolved lines and keep the rejected ones; returns how many of each."""
+    resolved = materialize(facts.resolve_keys(batch, load.tables(), resolve))
     rows = facts.fact_rows(resolved)
     if idempotent:
-        rows = facts.without_loaded(rows, loaded)
-    # Counted from what is written, not by running the plan again.
-    written = materialize(facts.with_sales_keys(rows, loaded))
-    store.append(FACTS, written)
-    return written.count(), facts.rejected_lines(resolved).count()
+        rows = facts.without_loaded(rows, load.read(FACTS, facts.years_of(rows)))
+    loaded = load.append(FACTS, facts.with_sales_keys(rows, load.largest(FACTS)))
+    return loaded, load.append(REJECTS, facts.reject_rows(resolved, load.name))
+
 
+def load_all(store: Store, batch: DataFrame, resolve: str = "current", idempotent: bool = False, name: str | None = None, number: int = 0,
+             daily: bool = False) -> dict[str, int]:
+    """Dimensions and facts in one commit; the number of new rows per table.
 
-def load_all(store: Store, batch: DataFrame, resolve: str = "current", idempotent: bool = False) -> dict[str, int]:
-    """Dimensions, then facts; the number of new rows per table."""
-    added = load_dimensions(store, batch)
-    added[FACTS], added["rejected"] = load_facts(store, batch, resolve, idempotent)
+    Readers see the state before until all is written. A load with a ``name`` that was committed with this ``number`` or a later one adds
+    nothing and reads nothing.
+    """
+    load = store.load(name, number)
+    if load.repeated:
+        return {**dict.fromkeys(TABLES, 0), "rejected": 0}
+    added = load_dimensions(load, batch, daily)
+    added[FACTS], added["rejected"] = load_facts(load, batch, resolve, idempotent)
+    load.commit()
     return added
 
 
@@ -104,10 +112,11 @@ class QualityFailure(Exception):
 
 
 class _Run:
-    def __init__(self, spark: SparkSession, path: str, work: str, on_critical: str, resolve: str, idempotent: bool, null_words: tuple[str, ...]) -> None:
+    def __init__(self, spark: SparkSession, path: str, work: str, on_critical: str, resolve: str, idempotent: bool, null_words: tuple[str, ...],
+                 name: str | None) -> None:
         self.spark, self.path, self.work = spark, path, work.rstrip("/")
         self.on_critical, self.resolve, self.idempotent, self.null_words = on_critical, resolve, idempotent, null_words
-        self.result = RunResult(run_id=uuid.uuid4().hex)
+        self.name, self.result = name, RunResult(run_id=uuid.uuid4().hex)
 
     def timed(self, stage: str, action):
         start = time.monotonic()
@@ -154,7 +163,7 @@ class _Run:
     def load(self, silver: DataFrame) -> None:
         store = Store(self.spark, f"{self.work}/warehouse")
         store.create_tables()
-        self.result.rows_loaded = load_all(store, silver, self.resolve, self.idempotent)[FACTS]
+        self.result.rows_loaded = load_all(store, silver, self.resolve, self.idempotent, self.name)[FACTS]
         tables = store.tables()
         checks = materialize(quality.referential_integrity(silver, tables["dim_customer"], tables["dim_product"], tables["dim_region"]))
         files.write_report(quality.quality_report(checks, "post_load"), f"{self.work}/reports", self.result.run_id, "post_load")
@@ -174,16 +183,16 @@ class _Run:
 
 
 def run(spark: SparkSession, path: str, work: str, mode: str = "full", on_critical: str = "flag",
-        resolve: str = "current", idempotent: bool = False, null_words: tuple[str, ...] = files.NULL_WORDS) -> RunResult:
+        resolve: str = "current", idempotent: bool = False, null_words: tuple[str, ...] = files.NULL_WORDS, name: str | None = None) -> RunResult:
     """Read, check, clean, transform, check again and load.
 
     ``mode`` may stop after the first checks (``validate``) or before loading
     (``dry-run``). Failed critical checks only mark the run unless ``on_critical``
-    is ``stop``. Each stage is stored, so later stages never repeat earlier ones.
+    is ``stop``. Each stage is stored, so later stages never repeat earlier ones. A run with the ``name`` of one that was loaded loads nothing.
     """
     if mode not in ("full", "validate", "dry-run"):
         raise ValueError(f"unknown mode {mode!r}")
-    job = _Run(spark, path, work, on_critical, resolve, idempotent, null_words)
+    job = _Run(spark, path, work, on_critical, resolve, idempotent, null_words, name)
     try:
         with own_scratch(spark):
             job.stages(mode)

@@ -98,11 +98,39 @@ FACT_SALES = T.StructType([
     T.StructField("order_year", INT),
 ])
 
+#: Lines that a load could not resolve, with the load's name and the reason.
+FACT_REJECTS = T.StructType([
+    T.StructField("load", TEXT),
+    T.StructField("reject_reason", TEXT),
+    T.StructField("row_id", TEXT),
+    T.StructField("order_id", TEXT),
+    T.StructField("order_date", DATE),
+    T.StructField("ship_date", DATE),
+    T.StructField("customer_id", TEXT),
+    T.StructField("product_id", TEXT),
+    T.StructField("category_name", TEXT),
+    T.StructField("sub_category", TEXT),
+    T.StructField("country", TEXT),
+    T.StructField("state", TEXT),
+    T.StructField("city", TEXT),
+    T.StructField("postal_code", TEXT),
+    T.StructField("sales", MONEY),
+    T.StructField("quantity", INT),
+    T.StructField("discount", DISCOUNT),
+    T.StructField("profit", MONEY),
+    T.StructField("rejected_at", TIME),
+])
+#: A customer version as it is stored: also the days on which it was seen, each with the id of the row that told it.
+CUSTOMER_HISTORY = T.StructType([*DIM_CUSTOMER.fields, T.StructField("seen", T.ArrayType(T.StructType([
+    T.StructField("day", DATE), T.StructField("row", TEXT)])))])
+
+FACTS, REJECTS = "fact_sales", "fact_rejects"
 TABLES = {
     "dim_date": DIM_DATE,
     "dim_category": DIM_CATEGORY,
     "dim_region": DIM_REGION,
     "dim_customer": DIM_CUSTOMER,
     "dim_product": DIM_PRODUCT,
-    "fact_sales": FACT_SALES,
+    FACTS: FACT_SALES,
 }
+STORED = {**TABLES, REJECTS: FACT_REJECTS}

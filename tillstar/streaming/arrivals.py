@@ -26,21 +26,24 @@ def load_arrivals(spark: SparkSession, landing: str, warehouse: str, checkpoint:
     """Start loading whatever has arrived; the query ends when it is caught up.
 
     A batch is at most ``files_per_batch`` paths, read like any other files: by their own encoding, quotes and
-    column names. A batch may be delivered again after a failure. Dimensions ignore what they
-    already hold and facts leave out loaded (order, product) pairs, so a second
-    delivery changes nothing.
+    column names, and loaded in one commit. A batch that is delivered again after a failure is known by its number and skipped. Under a new
+    checkpoint facts leave out loaded (order, product) pairs, and dimensions what they already hold.
     """
+    name = f"stream {checkpoint}"
+
     def load(batch: DataFrame, batch_id: int) -> None:
+        store = Store(batch.sparkSession, warehouse)
+        store.create_tables()
+        if store.load(name, batch_id).repeated:
+            return
         paths = [r.path for r in batch.collect()]
         if not paths:
             return
-        store = Store(batch.sparkSession, warehouse)
-        store.create_tables()
         with own_scratch(batch.sparkSession):
             rows = read_raw(batch.sparkSession, paths)
             silver = materialize(features.transform(materialize(cleaning.clean(rows))))
             if not silver.isEmpty():
-                load_all(store, silver, idempotent=True)
+                load_all(store, silver, idempotent=True, name=name, number=batch_id)
 
     return (
         arrivals(spark, landing, files_per_batch)
