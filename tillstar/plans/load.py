@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import clean as cleaning
 from tillstar.operators import dimensions, facts, features, quality, scd2
+from tillstar.operators.dedup import flag_exact_duplicates
 from tillstar.plans.star import WarehouseStar
 from tillstar.plans.summaries import refresh_summaries
 from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, TABLES
@@ -138,10 +139,12 @@ class _Run:
         return row.quality_score
 
     def extract(self) -> DataFrame:
+        # The files are read once, whatever becomes of their rows.
+        marked = materialize(files.read_marked(self.spark, self.path, null_words=self.null_words))
         malformed = f"{self.work}/malformed/run_id={self.result.run_id}"
-        files.malformed_rows(self.spark, self.path).write.mode("overwrite").parquet(malformed)
+        files.malformed(marked).write.mode("overwrite").parquet(malformed)
         self.result.rows_malformed = self.spark.read.schema("record string").parquet(malformed).count()
-        raw = materialize(files.extract(self.spark, self.path, null_words=self.null_words))
+        raw = materialize(flag_exact_duplicates(files.well_formed(marked)))
         self.result.rows_extracted = raw.count()
         if not self.result.rows_extracted:
             raise files.SourceError(f"no order lines in {self.path}")
