@@ -11,14 +11,16 @@ from tillstar.session import materialize
 
 
 def id_order(text: Column, descending: bool = False) -> list[tuple[Column, bool]]:
-    """Ids of digits by number, whatever their length; after them the others by text.
+    """Ids of digits by number, whatever their length; after them, in either direction, the others by text.
 
-    Without leading zeros, the longer of two numbers is the larger, and text order decides among equally
-    long ones. Equal numbers written differently go by text.
+    One text to sort by: without leading zeros the longer of two numbers is the larger, so its length stands first, in
+    ten digits. Equal numbers written differently go by text.
     """
-    digits = text.rlike(r"^[0-9]+\z")
-    plain = F.regexp_replace(text, "^0+(?=[0-9])", "")
-    return [(F.when(digits, F.char_length(plain)), descending), (F.when(digits, plain), descending), (text, descending)]
+    digits = (F.translate(text, "0123456789", "") == "") & (text != "")
+    plain = F.ltrim(text, F.lit("0"))
+    before, behind = ("1", "0") if descending else ("0", "1")
+    number = F.concat(F.lit(before), F.lpad(F.char_length(plain).cast("string"), 10, "0"), plain, text)
+    return [(F.when(digits, number).otherwise(F.concat(F.lit(behind), text)), descending)]
 
 
 Order = Sequence[tuple[Column, bool]]  # expression and whether it descends; NULL comes last

@@ -119,7 +119,7 @@ def splice(existing: DataFrame, changes: DataFrame, key: str, attributes: Sequen
     new = changes.where(F.col(key).isNotNull() & F.col(date).isNotNull()).select(
         key, *attributes, F.col(date).cast("date").alias("_day"), told.alias("_row"), F.lit(True).alias("_new"),
         F.lit(None).cast(old.schema["_stamp"].dataType).alias("_stamp"))
-    rank = F.struct(*[e for e, _ in id_order(F.col("_row"))], F.col("_new"))
+    rank = F.struct(id_order(F.col("_row"), descending=True)[0][0], F.col("_new"))
     daily = old.unionByName(new).groupBy(key, "_day").agg(
         F.max_by(F.struct(*attributes, "_row"), rank).alias("_last"), F.max("_stamp").alias("_stamp")).select(key, "_day", "_last.*", "_stamp")
 
