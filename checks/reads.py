@@ -7,13 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks.etl import DIMS, silver, upto
-from checks.registry import query, star_query
+from checks.registry import ORACLES, query, star_query
 from checks.sql_parts import AOV, MARGIN, ORDERS, SRP, big, dollars, ratio, totals, with_lines
 from tillstar.operators import dimensions
 from tillstar.plans import analytics, reads, reports
 from tillstar.plans.load import load_all
 from tillstar.plans.star import SlicedStar, SourceStar, WarehouseStar, join_date, secured
-from tillstar.plans.summaries import refresh_summaries
+from tillstar.plans.summaries import MONTHS, distinct_estimates, distinct_sketches, refresh_changed, refresh_summaries
 from tillstar.session import scratch_root
 from tillstar.sources import commerce
 from tillstar.sources.store import Store
@@ -173,3 +173,40 @@ query("l9_refreshed_monthly_sales", refreshed("mv_monthly_sales"), upto("silver"
 query("l9_refreshed_product_performance", refreshed("mv_product_performance"), upto("silver",
     f"""SELECT p.product_key, p.product_id, p.product_name, s."Category" AS category_name, p.sub_category, {SILVER_SUMS},
   {big('SUM(q)')} AS total_quantity FROM silver s JOIN products p ON p.product_id = s."Product ID" GROUP BY ALL""", DIMS[0], DIMS[3]))
+query("l9_refreshed_customer_summary", refreshed("mv_customer_summary"), upto("silver",
+    f"""SELECT c.customer_key, c.customer_id, c.customer_name, c.segment, {dollars('SUM(sales_c)')} AS lifetime_sales, {dollars('SUM(revenue_c)')} AS lifetime_revenue,
+  {dollars('SUM(profit_c)')} AS lifetime_profit, {big(SILVER_ORDERS)} AS total_orders, MAX(od) AS last_order_date
+  FROM silver s JOIN customers c ON c.customer_id = s."Customer ID" GROUP BY ALL""", DIMS[2]))
+
+_LATE: dict[tuple[str, str], str] = {}
+
+
+def late_month(name):
+    """A summary after a load of all lines but those of one month, a refresh, a load of that month, and a refresh that computes it alone."""
+    def get(spark, folder):
+        key = (spark.sparkContext.applicationId, folder)
+        if key not in _LATE:
+            store = Store(spark, f"{scratch_root(spark)}/late-{abs(hash(key))}")
+            store.create_tables()
+            late = F.col("Order Date").between("1997-03-01", "1997-03-31")
+            for rows, months in ((silver(spark, folder).where(~late), None), (silver(spark, folder).where(late), [199703])):
+                load_all(store, rows)
+                computed = refresh_changed(store)
+                if computed != dict.fromkeys(MONTHS, months):
+                    raise ValueError(f"refreshed {computed}")
+            _LATE[key] = store.root
+        return Store(spark, _LATE[key]).read(name)
+
+    return get
+
+
+query("l9_late_month_of_monthly_sales", late_month("mv_monthly_sales"), ORACLES["l9_refreshed_monthly_sales"])
+query("l9_late_month_of_product_performance", lambda s, d: late_month("mv_product_performance")(s, d).drop("product_key"),
+      f"SELECT * EXCLUDE (product_key) FROM ({ORACLES['l9_refreshed_product_performance']}) AS whole")
+query("a16_approximate_distinct", lambda s, d: distinct_estimates(distinct_sketches(SourceStar(s, d)), ("year",)).join(
+    SourceStar(s, d).order_totals(("year", "customer_key")).groupBy("year").agg(F.count_distinct("order_id").alias("o"), F.count_distinct("customer_key").alias("c")), "year").select(
+    "year", F.col("o").alias("orders"), F.col("c").alias("customers"),
+    (F.abs(F.col("approx_orders") - F.col("o")) <= 0.05 * F.col("o")).alias("orders_close"),
+    (F.abs(F.col("approx_customers") - F.col("c")) <= 0.05 * F.col("c")).alias("customers_close")),
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(DISTINCT o_orderkey) AS orders, COUNT(DISTINCT o_custkey) AS customers, TRUE AS orders_close, TRUE AS customers_close
+  FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1""")

@@ -8,7 +8,9 @@ from tests.conftest import ROWS, changed
 from tests.test_load import fact_scan
 from tillstar.operators import clean, facts, features, scd2
 from tillstar.plans import load as loading
+from tillstar.plans import analytics, summaries
 from tillstar.plans.load import load_all
+from tillstar.plans.star import WarehouseStar
 from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, TABLES
 from tillstar.sources.store import Conflict, Store, table_counts
 
@@ -166,3 +168,41 @@ def test_as_of_of_a_hot_customer_makes_no_product(spark):
     assert all(r.customer_key == (best.get((r["Customer ID"], r["Order Date"])) if r["Customer ID"] else None) for r in got.collect())
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=str)
+
+
+def test_a_late_month_is_computed_alone(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "w"))
+    store.create_tables()
+    load_all(store, silver(spark))
+    assert summaries.refresh_changed(store) == dict.fromkeys(summaries.MONTHS)
+    first = {(r.table_name, r.bucket): r.path for r in store.parts().collect()}
+    load_all(store, silver(spark, [LATER[0], changed(ROWS[2], Row_ID="31", Order_ID="ORD-77-9", Order_Date="2022-06-20", Ship_Date="2022-06-21")]))
+    assert summaries.refresh_changed(store) == dict.fromkeys(summaries.MONTHS, [202206, 202302])
+    parts = {(r.table_name, r.bucket): r.path for r in store.parts().collect()}
+    kept = [("mv_monthly_sales", 202205), ("mv_product_months", 202205)]
+    assert all(parts[k] == first[k] for k in kept) and parts["mv_monthly_sales", 202206] != first["mv_monthly_sales", 202206]
+    whole = WarehouseStar(store.tables())
+    for name, build in summaries.SUMMARIES.items():
+        assert rows_of(store.read(name)) == rows_of(build(whole)), name
+    scan = fact_scan(summaries.monthly_sales(summaries.star_of_months(store.load(), [202302])))
+    assert "2023" in scan.split("PartitionFilters")[1] and "GreaterThanOrEqual(order_date_key,20230200)" in scan
+    assert summaries.refresh_changed(store) == dict.fromkeys(summaries.MONTHS, [])
+    summaries.refresh_changed(store, dt.date(2024, 1, 1), keep_years=2)
+    assert {r.bucket for r in store.parts().where("table_name = 'mv_monthly_sales'").collect()} == {202302}
+    summaries.refresh_summaries(store, whole)
+    assert summaries.refresh_changed(store) == {"mv_monthly_sales": None, "mv_product_months": []}
+
+
+def test_orders_and_customers_without_expand(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "w"))
+    store.create_tables()
+    load_all(store, silver(spark, [*ROWS, *LATER, changed(ROWS[0], Row_ID="41", Order_ID="ORD-77-2", Customer_ID="NEW-1", Customer_Name="Una New", Product_ID="XX-1")]))
+    kpi = analytics.get_kpis(WarehouseStar(store.tables()))
+    assert (kpi.first().total_orders, kpi.first().total_customers) == (4, 3)
+    assert "Expand" not in kpi._jdf.queryExecution().optimizedPlan().toString()
+    estimate = summaries.distinct_estimates(summaries.distinct_sketches(WarehouseStar(store.tables()))).first()
+    assert tuple(estimate) == (4, 3)

@@ -169,8 +169,8 @@ def profitability_view(star: Star) -> DataFrame:
 def count_orders_and_customers(star: Star, orders: DataFrame, keys: tuple[str, ...], sums: dict[str, str]) -> DataFrame:
     """Sums per ``keys`` with distinct orders and customers, from order totals.
 
-    Where an order has one customer, two plain aggregations replace the two
-    distinct counts, which would repeat every order row.
+    Two distinct counts would repeat every order row. Where an order has one customer, two plain aggregations replace
+    them; else orders and customers are counted apart, each as rows of a grouping, and put together.
     """
     if star.order_fixes("customer_key", *keys):
         customers = orders.groupBy(*keys, "customer_key").agg(
@@ -178,8 +178,12 @@ def count_orders_and_customers(star: Star, orders: DataFrame, keys: tuple[str, .
         counts = [F.coalesce(F.sum("_orders"), F.lit(0)).alias("total_orders"), F.count(F.lit(1)).alias("total_customers")]
         rows = customers
     else:
-        counts = [F.count_distinct("order_id").alias("total_orders"), F.count_distinct("customer_key").alias("total_customers")]
-        rows = orders
+        pairs = orders.groupBy(*keys, "order_id", "customer_key").agg(*[F.sum(m).alias(m) for m in sums])
+        by_order = pairs.groupBy(*keys, "order_id").agg(*[F.sum(m).alias(m) for m in sums]).groupBy(*keys).agg(
+            *[F.sum(m).alias(m) for m in sums], F.count("order_id").alias("_orders"))
+        by_customer = pairs.select(*keys, "customer_key").distinct().groupBy(*keys).agg(F.count("customer_key").alias("_customers"))
+        counts = [F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in (("_orders", "total_orders"), ("_customers", "total_customers"))]
+        rows = by_order.unionByName(by_customer, allowMissingColumns=True)
     return rows.groupBy(*keys).agg(*[F.sum(m).alias(name) for m, name in sums.items()], *counts)
 
 

@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from tillstar.operators import clean as cleaning
 from tillstar.operators import dimensions, facts, features, quality, scd2
 from tillstar.operators.dedup import flag_exact_duplicates
-from tillstar.plans.star import WarehouseStar
-from tillstar.plans.summaries import refresh_summaries
+from tillstar.plans.summaries import refresh_changed
 from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, TABLES
 from tillstar.session import materialize, own_scratch
 from tillstar.sources import files
-from tillstar.sources.store import Load, Store
+from tillstar.sources.store import BUCKETS, Load, Store, bucket_of
 
 log = logging.getLogger(__name__)
 
@@ -46,7 +45,7 @@ def load_customers(load: Load, batch: DataFrame, daily: bool = False) -> int:
     existing = load.read_buckets(table, buckets, CUSTOMER_HISTORY)
     versions, added = scd2.splice_customers(existing, batch, load.largest(table), daily)
     if buckets is None or buckets:
-        load.swap_buckets(table, buckets, versions, key)
+        load.swap_buckets(table, buckets, versions, bucket_of(F.col(key), BUCKETS[table]))
     return added
 
 
@@ -215,5 +214,5 @@ def run_daily(spark: SparkSession, path: str, work: str, **options) -> RunResult
     if result.status != "FAILED":
         store = Store(spark, f"{work.rstrip('/')}/warehouse")
         with own_scratch(spark):
-            refresh_summaries(store, WarehouseStar(store.tables()))
+            refresh_changed(store)
     return result

@@ -131,7 +131,7 @@ class Store:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.option("basePath", f"{self.root}/{table}")
         if schema is None:
-            return reader.parquet(*[f"{self.root}/{p.path}" for p in parts]).drop("part")
+            return reader.parquet(*[f"{self.root}/{p.path}" for p in parts]).drop("part", "bucket")
         return reader.schema(schema).parquet(*[f"{self.root}/{p.path}" for p in parts]).select(*schema.fieldNames())
 
     def versions(self, table: str) -> list[int]:
@@ -320,15 +320,23 @@ class Load:
     def read_buckets(self, table: str, buckets: list[int] | None, schema=None) -> DataFrame:
         return self.store.frame(table, [p for p in self.parts(table) if buckets is None or p.bucket in buckets], schema)
 
-    def swap_buckets(self, table: str, buckets: list[int] | None, df: DataFrame, key: str) -> None:
+    def swap_buckets(self, table: str, buckets: list[int] | None, df: DataFrame, bucket: Column) -> None:
         """Put ``df``, all rows of ``buckets``, in their place; the other buckets' files stay as they are."""
-        rows = df.withColumn("bucket", bucket_of(F.col(key), BUCKETS[table]))
-        path, stored = self.write(table, rows, ("bucket",))
-        said = stored.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), F.max(KEYS[table]).alias("largest")).collect()
+        path, stored = self.write(table, df.withColumn("bucket", bucket.cast("int")), ("bucket",))
+        largest = F.max(KEYS[table]) if table in KEYS else F.lit(None).cast("bigint")
+        said = stored.groupBy("bucket").agg(F.count(F.lit(1)).alias("rows"), largest.alias("largest")).collect()
         fresh = [Part(f"{path}/bucket={r.bucket}", r.rows, self.name, self._version(table), r.largest, bucket=r.bucket) for r in sorted(said)]
         rest = [] if buckets is None else [p for p in self.parts(table) if p.bucket not in buckets]
         self.changed[table] = (*rest, *fresh)
 
+    def expire(self, table: str, before: int) -> int:
+        """Leave out the buckets under ``before``; returns how many. Their files go with :meth:`Store.remove_unnamed`."""
+        kept = tuple(p for p in self.parts(table) if p.bucket is None or p.bucket >= before)
+        gone = len(self.parts(table)) - len(kept)
+        if gone:
+            self.changed[table] = kept
+        return gone
+
     def commit(self) -> Commit:
         """Make everything visible; a :class:`Conflict` leaves it invisible."""
         base = self.base
