@@ -14,8 +14,8 @@ from checks.registry import query
 from checks.sql_parts import LINES, big, dollars, ratio
 from tillstar.functions import dates, numbers, text
 from tillstar.operators import clean, dedup, dimensions, facts, features, quality, quantiles, scd2
-from tillstar.plans.load import load_all, load_customers, load_dimensions, load_facts, run_daily
-from tillstar.schemas import REJECTS, TABLES
+from tillstar.plans.load import load_all, load_customers, load_dimensions, load_facts, run_daily, stage
+from tillstar.schemas import REJECTS, STAGING_CLEAN, STAGING_RAW, TABLES, staged_name
 from tillstar.session import materialize, scratch_root, store_rows
 from tillstar.sources import commerce
 from tillstar.sources.files import detect_encodings, extraction_metrics, malformed_rows, read_raw
@@ -518,6 +518,23 @@ def stored_rejects(spark: SparkSession, folder: str) -> DataFrame:
 query("j7_stored_rejects", stored_rejects, upto("silver", """SELECT 'lines' AS load, line_id, reject_reason, s."Customer ID" AS customer_id, s."Product ID" AS product_id
   FROM resolved JOIN silver s ON s."Row ID" = line_id WHERE reject_reason IS NOT NULL""", *GOOD_DIMS, FALLBACK))
 
+def staged(table: str):
+    def get(spark: SparkSession, folder: str) -> DataFrame:
+        store = Store(spark, f"{scratch_root(spark)}/store-{uuid.uuid4().hex}")
+        stage(store, raw(spark, folder), silver(spark, folder))
+        return store.read(table)
+
+    return get
+
+
+query("sk6_staging_raw", staged(STAGING_RAW), upto("raw", "SELECT " + ", ".join(f'"{c}" AS {staged_name(c)}' for c in TEXTS) + " FROM raw"))
+query("sk6_staging_clean", lambda s, d: staged(STAGING_CLEAN)(s, d).select("row_id", "order_date", "ship_date", "customer_name", "postal_code", "sales", "quantity", "discount", "profit", "revenue", "profit_margin"),
+      upto("silver", f"""SELECT "Row ID" AS row_id, od AS order_date, sd AS ship_date, "Customer Name" AS customer_name, postal AS postal_code, {dollars('sales_c')} AS sales,
+  q AS quantity, {dollars('discount_c')} AS discount, {dollars('profit_c')} AS profit, {dollars('revenue_c')} AS revenue, margin AS profit_margin FROM silver"""))
+query("x23_collisions_in_a_run", lambda s, d: plain(quality.shared_category_codes(dimensions.new_categories(empty(s, "dim_category"), silver(s, d)))),
+      upto("silver", f"""SELECT 'category_code_collision' AS rule_name, n = 0 AS passed, 'warning' AS severity, {big('n')} AS affected_rows, {big('(SELECT COUNT(*) FROM categories)')} AS total_rows
+  FROM (SELECT COALESCE(SUM(c), 0) AS n FROM (SELECT COUNT(*) AS c FROM categories GROUP BY category_id HAVING COUNT(*) > 1) AS g) AS found""", DIMS[0]))
+
 # --- files and the whole run --------------------------------------------------
 
 
@@ -622,6 +639,8 @@ query("x19_x26_formats", lambda s, d: commerce.read(s, d, "customer").select(
     numbers.format_percent((F.col("c_custkey") % 1000) / 1000).alias("share")),
     """SELECT c_custkey, format('${:,.2f}', CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DOUBLE)) AS balance,
   format('{:.1f}%', (c_custkey % 1000) / 10.0) AS share FROM customer""")
+query("x26_date_format", lambda s, d: commerce.read(s, d, "orders").select("o_orderkey", dates.format_date(F.col("o_orderdate")).alias("shown")),
+      "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS shown FROM orders")
 query("x20_clean_strings", lambda s, d: raw(s, d).select("Row ID", text.clean_string(F.col("Customer Name")).alias("customer_name")),
       upto("raw", f"""SELECT "Row ID", NULLIF({strip('"Customer Name"')}, '') AS customer_name FROM raw"""))
 query("x21_x22_safe_divide", lambda s, d: commerce.order_lines(s, d, "sales_key", "sales", "discount").select(

@@ -218,7 +218,7 @@ def test_calendar(spark):
 
 
 def test_whole_run(spark, csv_file, tmp_path):
-    result = run_daily(spark, csv_file, str(tmp_path / "work"))
+    result = run_daily(spark, csv_file, str(tmp_path / "work"), staging=True, name="first")
     assert (result.status, result.exit_code, result.errors) == ("SUCCESS", 0, [])
     assert (result.rows_extracted, result.rows_cleaned, result.rows_transformed, result.rows_loaded) == (3, 3, 3, 3)
     assert (result.raw_quality_score, result.transformed_quality_score) == (100.0, 100.0)
@@ -226,6 +226,9 @@ def test_whole_run(spark, csv_file, tmp_path):
     assert result.as_row(spark).first().rows_loaded == 3
     made = Store(spark, str(tmp_path / "work" / "warehouse"))
     assert made.read("mv_product_performance").count() == 3
+    assert made.read("stg_raw_sales").where("row_id = '1'").first().sales == "250.00"
+    assert made.read("stg_clean_sales").where("row_id = '1'").first().revenue == Decimal("250.00")
+    assert run(spark, csv_file, str(tmp_path / "work"), name="first").rows_loaded == 0
     reports = spark.read.json(str(tmp_path / "work" / "reports" / "*"))
     assert {r.stage for r in reports.select("stage").collect()} == {"raw", "transformed", "post_load"}
 

@@ -51,3 +51,8 @@ def fiscal_quarter(date: Column) -> Column:
 def fiscal_year(date: Column) -> Column:
     """Calendar year in which the fiscal year began."""
     return F.when(F.month(date) >= 4, F.year(date)).otherwise(F.year(date) - 1)
+
+
+def format_date(day: Column) -> Column:
+    """``2024-05-01``, as dates are shown; NULL stays NULL."""
+    return F.date_format(day, "yyyy-MM-dd")

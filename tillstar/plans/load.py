@@ -15,7 +15,7 @@ from tillstar.operators import clean as cleaning
 from tillstar.operators import dimensions, facts, features, quality, scd2
 from tillstar.operators.dedup import flag_exact_duplicates
 from tillstar.plans.summaries import refresh_changed
-from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, TABLES
+from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, STAGING_CLEAN, STAGING_RAW, STORED, TABLES, staged_name
 from tillstar.session import materialize, own_scratch
 from tillstar.sources import files
 from tillstar.sources.store import BUCKETS, Load, Store, bucket_of
@@ -75,6 +75,16 @@ def load_all(store: Store, batch: DataFrame, resolve: str = "current", idempoten
     return added
 
 
+def stage(store: Store, raw: DataFrame, silver: DataFrame) -> dict[str, int]:
+    """Let the lines of a run, as read and as loaded, be the content of the two staging tables; the rows of each."""
+    load, rows = store.load(), {}
+    for table, lines in ((STAGING_RAW, raw), (STAGING_CLEAN, silver)):
+        own = {staged_name(c): F.col(f"`{c}`") for c in lines.columns}
+        rows[table] = load.replace(table, lines.select(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in STORED[table].fields]))
+    load.commit()
+    return rows
+
+
 @dataclass
 class RunResult:
     """What one run did."""
@@ -113,10 +123,10 @@ class QualityFailure(Exception):
 
 class _Run:
     def __init__(self, spark: SparkSession, path: str, work: str, on_critical: str, resolve: str, idempotent: bool, null_words: tuple[str, ...],
-                 name: str | None) -> None:
+                 name: str | None, staging: bool) -> None:
         self.spark, self.path, self.work = spark, path, work.rstrip("/")
         self.on_critical, self.resolve, self.idempotent, self.null_words = on_critical, resolve, idempotent, null_words
-        self.name, self.result = name, RunResult(run_id=uuid.uuid4().hex)
+        self.name, self.staging, self.result = name, staging, RunResult(run_id=uuid.uuid4().hex)
 
     def timed(self, stage: str, action):
         start = time.monotonic()
@@ -162,12 +172,16 @@ class _Run:
         files.write_audit(silver, f"{self.work}/processed", self.result.run_id)
         return silver
 
-    def load(self, silver: DataFrame) -> None:
+    def load(self, raw: DataFrame, silver: DataFrame) -> None:
         store = Store(self.spark, f"{self.work}/warehouse")
         store.create_tables()
+        if self.staging:
+            stage(store, raw, silver)
         self.result.rows_loaded = load_all(store, silver, self.resolve, self.idempotent, self.name)[FACTS]
         tables = store.tables()
-        checks = materialize(quality.referential_integrity(silver, tables["dim_customer"], tables["dim_product"], tables["dim_region"]))
+        checks = materialize(
+            quality.referential_integrity(silver, tables["dim_customer"], tables["dim_product"], tables["dim_region"])
+            .unionByName(quality.inverted_versions(tables["dim_customer"])).unionByName(quality.shared_category_codes(tables["dim_category"])))
         files.write_report(quality.quality_report(checks, "post_load"), f"{self.work}/reports", self.result.run_id, "post_load")
 
     def stages(self, mode: str) -> None:
@@ -181,20 +195,22 @@ class _Run:
         result.transformed_quality_score = self.timed("transformed_validation", lambda: self.check(silver, "transformed"))
         if mode == "dry-run":
             return
-        self.timed("load", lambda: self.load(silver))
+        self.timed("load", lambda: self.load(raw, silver))
 
 
 def run(spark: SparkSession, path: str, work: str, mode: str = "full", on_critical: str = "flag",
-        resolve: str = "current", idempotent: bool = False, null_words: tuple[str, ...] = files.NULL_WORDS, name: str | None = None) -> RunResult:
+        resolve: str = "current", idempotent: bool = False, null_words: tuple[str, ...] = files.NULL_WORDS, name: str | None = None,
+        staging: bool = False) -> RunResult:
     """Read, check, clean, transform, check again and load.
 
     ``mode`` may stop after the first checks (``validate``) or before loading
     (``dry-run``). Failed critical checks only mark the run unless ``on_critical``
     is ``stop``. Each stage is stored, so later stages never repeat earlier ones. A run with the ``name`` of one that was loaded loads nothing.
+    ``staging`` also keeps its lines as tables (:func:`stage`).
     """
     if mode not in ("full", "validate", "dry-run"):
         raise ValueError(f"unknown mode {mode!r}")
-    job = _Run(spark, path, work, on_critical, resolve, idempotent, null_words, name)
+    job = _Run(spark, path, work, on_critical, resolve, idempotent, null_words, name, staging)
     try:
         with own_scratch(spark):
             job.stages(mode)

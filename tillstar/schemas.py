@@ -98,6 +98,19 @@ FACT_SALES = T.StructType([
     T.StructField("order_year", INT),
 ])
 
+
+def staged_name(column: str) -> str:
+    return column.lower().replace(" ", "_").replace("-", "_")
+
+
+# Names of the staging tables. The raw one holds the file's texts, the clean one typed columns with revenue and margin.
+STAGING_RAW, STAGING_CLEAN = "stg_raw_sales", "stg_clean_sales"
+_TYPED = {"order_date": DATE, "ship_date": DATE, "sales": MONEY, "quantity": INT, "discount": DISCOUNT, "profit": MONEY}
+STAGING = {
+    STAGING_RAW: T.StructType([T.StructField(staged_name(c), TEXT) for c in RAW_COLUMNS]),
+    STAGING_CLEAN: T.StructType([*[T.StructField(staged_name(c), _TYPED.get(staged_name(c), TEXT)) for c in RAW_COLUMNS],
+                                 T.StructField("revenue", MONEY), T.StructField("profit_margin", MARGIN)]),
+}
 #: Lines that a load could not resolve, with the load's name and the reason.
 FACT_REJECTS = T.StructType([
     T.StructField("load", TEXT),
@@ -133,4 +146,4 @@ TABLES = {
     "dim_product": DIM_PRODUCT,
     FACTS: FACT_SALES,
 }
-STORED = {**TABLES, REJECTS: FACT_REJECTS}
+STORED = {**TABLES, REJECTS: FACT_REJECTS, **STAGING}
