@@ -51,3 +51,18 @@ def test_prefix_order():
     p = pivots.unit(np.array([[1.0, 0], [1, 1], [0, 1], [-1, 0]]))
     assert pivots.prefixes(np.array([[0.2, 1.0]]) / math.hypot(0.2, 1), p)[0].tolist()[:4] == [2, 1, 0, 3]
     assert pivots.first_shared(np.array([[1, 4, 6, 9]]), np.array([[2, 4, 6, 8]]))[0] == (4 << 32) | 6
+
+
+def test_every_dimension_is_indexed(spark):
+    draw = np.random.default_rng(9)
+    rows = [(k, draw.normal(size=4).tolist()) for k in range(400)] + [(1000 + k, draw.normal(size=3).tolist()) for k in range(300)]
+    rows += [(2000, [1.0, 2.0, 3.0, 4.0, 5.0]), (2001, [1.0, 2.0, 3.0, 4.0, 5.01]), (2002, [1.0, 2.0, 3.0, 4.0, 5.0]), (2003, [7.0]), (2004, [0.5]), (2005, [-1.0])]
+    want = {i: 0 for i, _ in rows}
+    for a, (i, x) in enumerate(rows):
+        for j, y in rows[:a]:
+            if len(x) == len(y) and np.dot(x, y) / np.linalg.norm(x) / np.linalg.norm(y) >= 0.9:
+                want[i] += 1
+                want[j] += 1
+    got = {r.vec_id: r.n_links for r in pivots.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), pivots=16).collect()}
+    assert all(got[i] <= n for i, n in want.items()) and sum(got.values()) >= 0.9 * sum(want.values())
+    assert [got[i] for i in range(2000, 2006)] == [2, 2, 2, 1, 1, 0]

@@ -6,10 +6,11 @@ list of the two smallest pivots it shares, hence once. What meets is verified by
 are one entry with a count, so copies never meet each other. Long lists are compared in blocks of bounded size.
 
 The pivots come from a bounded sample (the ``SAMPLE * PIVOTS`` distinct vectors with the smallest hashes), drawn again for every
-table; all vectors are indexed. Recall against brute force is tested; every reported link has been verified.
+table; all vectors are indexed. Each dimension has pivots and lists of its own; where the sample has too few vectors of a dimension, its
+vectors are one list, compared in blocks as a whole. Recall against brute force is tested; every reported link has been verified.
 
 Defined results: a vector that is null, of length zero, holds a null or non-finite component or no component is linked with nothing;
-so is one whose dimension differs from the pivots' most frequent one; a null ``vec_id`` is linked with nothing and kept; rows that repeat a
+vectors of different dimensions are not linked; a null ``vec_id`` is linked with nothing and kept; rows that repeat a
 ``vec_id`` count each; an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
@@ -50,25 +51,29 @@ def distinct(vectors: DataFrame) -> DataFrame:
     return materialize(plain.groupBy("vector").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")))
 
 
-def choose(nodes: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
-    """The pivots as unit vectors, from a sample of at most ``SAMPLE`` times as many distinct vectors.
+def choose(nodes: DataFrame, pivots: int = PIVOTS) -> dict[int, np.ndarray]:
+    """The pivots of each dimension as unit vectors, from a sample of at most ``SAMPLE`` times as many distinct vectors.
 
     A vector nearer than ``APART`` to a pivot is passed over: many pivots in one dense group would be everyone's nearest there, in
     an order that tells nothing.
     """
     rows = [r["vector"] for r in nodes.select("vector").orderBy(F.xxhash64("vector")).limit(SAMPLE * pivots).collect()]
-    if not rows:
-        return np.zeros((0, 0))
-    sizes = [len(r) for r in rows]
-    common = max(sorted(set(sizes)), key=sizes.count)
-    sample = unit(np.array([r for r in rows if len(r) == common], float))
-    chosen = sample[:1]
-    for row in sample[1:]:
-        if len(chosen) == pivots:
-            break
-        if (chosen @ row).max() < APART:
-            chosen = np.vstack([chosen, row])
-    return chosen
+    out = {}
+    for dim in sorted({len(r) for r in rows}):
+        sample = unit(np.array([r for r in rows if len(r) == dim], float))
+        chosen = sample[:1]
+        for row in sample[1:]:
+            if len(chosen) == pivots:
+                break
+            if (chosen @ row).max() < APART:
+                chosen = np.vstack([chosen, row])
+        out[dim] = chosen
+    return out
+
+
+def _of(dim: int) -> int:
+    """The bits of a list's key that tell the dimension; two pivots leave them free. The list of a whole dimension is its negative."""
+    return (dim & 0xFFFF) << 16 | dim >> 16 << 48
 
 
 def prefixes(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
@@ -79,29 +84,30 @@ def prefixes(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.pad(order, ((0, 0), (0, PREFIX - k)), constant_values=-1)
 
 
-def inverted(nodes: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """The inverted lists: key (two pivots), node, copies, prefix (sorted), vector (8-byte components of length 1)."""
+def inverted(nodes: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """The inverted lists: key (dimension and two pivots), node, copies, prefix (sorted), vector (8-byte components of length 1)."""
     shared = nodes.sparkSession.sparkContext.broadcast(pivots)
     schema = "key long, node long, copies long, prefix binary, vector binary"
 
     def run(batches):
-        dim = shared.value.shape[1]
         for batch in batches:
-            batch = batch.filter(pa.array([len(v) == dim for v in batch.column("vector")], pa.bool_()))
-            if not batch.num_rows:
-                continue
-            rows = unit(np.array(batch.column("vector").to_pylist(), float))
-            sorted_ = np.sort(prefixes(rows, shared.value), axis=1).astype("<i4")
-            a, b = sorted_[:, _PAIRS[:, 0]].astype(np.int64), sorted_[:, _PAIRS[:, 1]].astype(np.int64)
-            keys = (a << 32) | b if len(shared.value) >= PREFIX else np.full((len(rows), 1), -1)  # too few pivots: one list
-            packed, vectors = [p.tobytes() for p in sorted_], [r.tobytes() for r in rows]
-            node, copies = batch.column("node").to_pylist(), batch.column("copies").to_pylist()
-            for i in range(0, len(rows), 500):
-                at = [j for j in range(i, min(i + 500, len(rows))) for _ in set(keys[j].tolist())]
-                key = [k for j in range(i, min(i + 500, len(rows))) for k in sorted(set(keys[j].tolist()))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key, pa.int64()), pa.array([node[j] for j in at], pa.int64()), pa.array([copies[j] for j in at], pa.int64()),
-                     pa.array([packed[j] for j in at], pa.binary()), pa.array([vectors[j] for j in at], pa.binary())], ["key", "node", "copies", "prefix", "vector"])
+            sizes = np.array([len(v) for v in batch.column("vector")])
+            for dim in np.unique(sizes).tolist():
+                yield from of_dimension(batch.filter(pa.array(sizes == dim)), dim)
+
+    def of_dimension(batch, dim):
+        rows, own = unit(np.array(batch.column("vector").to_pylist(), float)), shared.value.get(dim, np.zeros((0, dim)))
+        sorted_ = np.sort(prefixes(rows, own), axis=1).astype("<i4")
+        a, b = sorted_[:, _PAIRS[:, 0]].astype(np.int64), sorted_[:, _PAIRS[:, 1]].astype(np.int64)
+        keys = (a << 32) | b | _of(dim) if len(own) >= PREFIX else np.full((len(rows), 1), -dim)  # too few pivots: one list
+        packed, vectors = [p.tobytes() for p in sorted_], [r.tobytes() for r in rows]
+        node, copies = batch.column("node").to_pylist(), batch.column("copies").to_pylist()
+        for i in range(0, len(rows), 500):
+            at = [j for j in range(i, min(i + 500, len(rows))) for _ in set(keys[j].tolist())]
+            key = [k for j in range(i, min(i + 500, len(rows))) for k in sorted(set(keys[j].tolist()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key, pa.int64()), pa.array([node[j] for j in at], pa.int64()), pa.array([copies[j] for j in at], pa.int64()),
+                 pa.array([packed[j] for j in at], pa.binary()), pa.array([vectors[j] for j in at], pa.binary())], ["key", "node", "copies", "prefix", "vector"])
 
     return nodes.mapInArrow(run, schema)
 
@@ -128,7 +134,7 @@ def _verify(batches, least):
         i, j = np.nonzero(near if crossing else np.triu(near, 1))
         i, j = left[i], right[j]
         if key >= 0 and len(i):
-            mine = first_shared(prefix[i], prefix[j]) == key
+            mine = first_shared(prefix[i], prefix[j]) | _of(rows.shape[1]) == key
             i, j = i[mine], j[mine]
         if not len(i):
             continue
