@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm import blocks
+from tillstar.llm import blocks, tokens
 from tillstar.llm.components import components
 from tillstar.llm.idfilter import IdFilter
 from tillstar.llm.shingles import WordHashes, shingle_set, words_of
@@ -78,6 +78,7 @@ def sign(documents: DataFrame) -> DataFrame:
     """Shingle count, node (digest of the set) and signature of every document; null node: linked with nothing."""
 
     def run(batches):
+        tokens.release()
         cache = WordHashes()
         for batch in blocks.slices(batches):
             ids = batch.column("doc_id").to_pylist()
@@ -135,7 +136,7 @@ def _signatures_agree(batches):
 
 
 def _sets_agree(batches):
-    for batch in batches:
+    for batch in blocks.slices(batches):
         hit = [linked(np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)) for a, b in zip(batch.column("sa"), batch.column("sb"))]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
 

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillstar.llm import tokens
 from tillstar.llm.shingles import PLACES, WordHashes, mixed
 
 SYMBOLS = "#*$%&|<>"
@@ -157,6 +158,7 @@ def grow(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: fl
 
 
 def _rows(batches: Iterator[pa.RecordBatch], trees: Trees | None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    tokens.release()
     cache = WordHashes()
     for batch in batches:
         base = np.zeros((batch.num_rows, len(BASE)), np.int64)

@@ -132,6 +132,11 @@ def worker_encoder(content: str) -> Encoder:
     return _workers[content]
 
 
+def release() -> None:
+    """Drop the encoder that this worker has kept; for tasks of other operators, which need the memory for their own."""
+    _workers.clear()
+
+
 def kind_of(content: str) -> np.dtype:
     return Encoder(content).kind
 
