@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -75,3 +76,27 @@ def test_words_give_the_ids_of_the_text():
     texts = ["", "a", "  a  b", " x\n y", "tab\tb c", "nb sp a", "é ü  <|endoftext|> b", "don't we'll 's 12 3a\n\nb", "trail ", "trail\n", "a \nb", "x　y z", "\x1cfoo bar!\x1c baz", "日本 語 テ", "a\x85 b", "\n"]
     assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == [ids_of(t) for t in texts]
     assert zlib.crc32(tokens.wide(encoder.encode(["a"])[0], encoder.kind)) == zlib.crc32(np.array(ids_of("a"), "<u4").tobytes())
+
+
+PIECES = ["a", "é", "Z", "1", "²", " ", "  ", "\n", "\t", ".", "'s", "'", "日", "😀", "\xa0", "<|endoftext|>", "ß", "ª", "!?", "\r", "ɐ", "word", "Wörter"]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(PIECES), max_size=25).map("".join)), max_size=30), st.integers(1, 60))
+def test_any_texts_in_any_runs(texts, run):
+    encoder = _encoder()
+    encoder.RUN, encoder.STEMS = run, 3  # many small runs; stems are forgotten all the time
+    want = [] if not texts else [e.ids + [tokens.END] for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == want
+
+
+@functools.cache
+def _encoder():
+    return tokens.Encoder(open(tokens.default_path(), encoding="utf-8").read())
+
+
+def test_very_long_text_is_a_run_of_its_own():
+    encoder = _encoder()
+    encoder.RUN, encoder.STEMS = 1 << 20, 300_000
+    texts = ["short one", "many words, " * 100_000, "x" * 10_000, None, "last one"]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in encoder.encode(texts)] == [ids_of(t) for t in texts]

@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -131,11 +132,11 @@ def tokenised(documents: DataFrame, tokenizer: str | None = None) -> DataFrame:
         encoder = tokens.worker_encoder(content.value)
         shard, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            ids = encoder.encode(batch.column("text").to_pylist())
-            sizes = np.array([len(x) // encoder.kind.itemsize for x in ids], np.int64)
+            ids = encoder.encode_column(batch.column("text"))
+            sizes = pc.binary_length(ids).to_numpy() // encoder.kind.itemsize
             starts = at + np.cumsum(sizes) - sizes
             at += int(sizes.sum())
-            yield pa.RecordBatch.from_arrays([pa.array([shard] * len(ids), pa.int64()), pa.array(starts), batch.column("doc_id"), pa.array(sizes), pa.array(ids, pa.binary())],
+            yield pa.RecordBatch.from_arrays([pa.array([shard] * len(ids), pa.int64()), pa.array(starts), batch.column("doc_id"), pa.array(sizes), ids.cast(pa.binary())],
                                              ["shard", "start", "doc_id", "n_tokens", "ids"])
 
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]

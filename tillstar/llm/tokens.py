@@ -1,15 +1,19 @@
 """Token ids of whole texts with the tokenizers library, inside Arrow tasks.
 
-Texts repeat words, so ids are kept per word. A text is cut before a blank that stands between two characters that are no
+Texts repeat words, so a run of texts becomes a dictionary of its words and an index per word, both made by Arrow; only the
+dictionary is encoded, and the ids are gathered by index. A text is cut before a blank that stands between two characters that are no
 white space; byte-level pre-tokens never cross such a place, so the words' ids joined are the text's ids. A text with other
-white space, or blanks in a row, is encoded as a whole.
+white space, or blanks in a row, is encoded as a whole, and so is every text where the tokenizer is no plain byte-level one.
 """
 
 from __future__ import annotations
 
 import os
+import struct
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
@@ -34,91 +38,106 @@ def shared_tokenizer(spark: SparkSession, path: str | None = None) -> Broadcast:
         return spark.sparkContext.broadcast(source.read())
 
 
-def _plain(text: str) -> bool:
-    """Whether every blank stands between two characters that are no white space, but for one at the end."""
-    return not (text[0] == " " or "  " in text or "\n " in text or any(c in text for c in _ODD))
+#: A blank that does not stand between two characters that are no white space, but for one at the end.
+_UNPLAIN = "^ |  |\n |[" + _ODD + "]"
+_UNSETTLED = f"[{_SETTLED}-\U0010ffff]"
 
 
 class Encoder:
     """Texts to little-endian ids of ``kind``, two bytes each if the vocabulary allows, else four.
 
-    Ids are kept per word and, since words mostly differ in marks around a few stems, per pre-token of new words. Both
-    stores are emptied when full.
+    Words mostly differ in marks around a few stems, so the ids of stems are kept; the store is emptied when full. Texts
+    are taken in runs of at most ``RUN`` bytes, but for a longer text, which is a run of its own.
     """
 
-    WORDS, STEMS = 200_000, 250_000
-    STEP = 512
+    STEMS = 300_000
+    RUN = 8 << 20
 
     def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import regex
         from public_tokenizers import PATTERN
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(content)
         self.tokenizer.encode_special_tokens = True  # control strings inside a text are ordinary text
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.cut = regex.compile(PATTERN).findall
-        self.later: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        split = self.tokenizer.pre_tokenizer
+        self.by_words = self.tokenizer.normalizer is None and isinstance(split, pre_tokenizers.ByteLevel) and not split.add_prefix_space and split.use_regex
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.shown = {n: "".join(p for p, _ in as_bytes.pre_tokenize_str(chr(n))) for n in range(ord(_SETTLED))}
         self.stems: dict[str, bytes] = {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_stems(self, new: list[str]) -> None:
-        """Stems of a blank and letters are encoded in one string; where one ends, the next one's blank begins a new pre-token."""
-        run = [s for s in new if s[0] == " " and s[1:].isalpha()]
-        if run:
-            coded = self.tokenizer.encode("".join(run), add_special_tokens=False)
-            of = np.array(coded.word_ids, np.int64)
-            ids, cuts = np.array(coded.ids, self.kind), np.searchsorted(of, np.arange(len(run) + 1)).tolist()
-            if of[-1] != len(run) - 1:
-                raise ValueError("the tokenizer cuts words otherwise than expected")
-            self.stems.update((s, ids[a:b].tobytes()) for s, a, b in zip(run, cuts, cuts[1:]))
-        rest = [s for s in new if s not in self.stems]
-        self.stems.update(zip(rest, self._raw(rest)))
-
-    def _learn(self, known: dict[str, bytes], words: set[str], before: str) -> None:
-        words = words.difference(known)
-        one, two, more, rest = [], [], [], []
-        for w in words:
-            if not w or max(w) >= _SETTLED:
-                rest.append(w)
+    def _learn(self, stem: str) -> bytes:
+        """Ids of one pre-token of settled characters, kept."""
+        ids = [t.id for t in self.model.tokenize(stem.translate(self.shown))]
+        found = self.stems[stem] = struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
+        return found
+
+    def _words(self, words: pa.Array, before: str) -> list[bytes]:
+        """Ids of each word with ``before`` in front of it."""
+        odd = pc.match_substring_regex(words, _UNSETTLED).to_numpy(zero_copy_only=False).tolist()
+        given, known, learn, out = words.to_pylist(), self.stems.get, self._learn, []
+        for w, unsettled in zip(given, odd):
+            if unsettled or not w:
+                out.append(b"")
             elif w.isalpha():
-                one.append(w)
+                out.append(known(w := before + w) or learn(w))
             elif (stem := w.rstrip(_MARKS)).isalpha():
-                two.append((w, before + stem, w[len(stem):]))
+                marks, stem = w[len(stem):], before + stem
+                out.append((known(stem) or learn(stem)) + (known(marks) or learn(marks)))
             else:
-                more.append((w, self.cut(before + w)))
-        wanted = {before + w for w in one}
-        wanted.update(s for _, s, _ in two)
-        wanted.update(s for _, _, s in two)
-        wanted.update(s for _, cut in more for s in cut)
-        stems = self.stems
-        self._learn_stems(list(wanted.difference(stems)))
-        for w in one:
-            known[w] = stems[before + w]
-        for w, stem, marks in two:
-            known[w] = stems[stem] + stems[marks]
-        for w, cut in more:
-            known[w] = b"".join([stems[s] for s in cut])
-        known.update(zip(rest, self._raw([before + w for w in rest])))
-
-    def _step(self, texts: list[str]) -> list[bytes]:
-        for known, limit in ((self.later, self.WORDS), (self.first, self.WORDS), (self.stems, self.STEMS)):
-            if len(known) > limit:
-                known.clear()
-        parts = [t.split(" ") if t and _plain(t) else None for t in texts]
-        self._learn(self.first, {p[0] for p in parts if p}, "")
-        self._learn(self.later, set().union(*(p[1:] for p in parts if p)), " ")
-        later, first = self.later.__getitem__, self.first
-        return [first[p[0]] + b"".join(map(later, p[1:])) if p else (self._raw([t])[0] if t else b"") for p, t in zip(parts, texts)]
+                out.append(b"".join([known(s) or learn(s) for s in self.cut(before + w)]))
+        left = [k for k, w in enumerate(given) if odd[k] or not w]
+        for k, ids in zip(left, self._raw([before + given[k] for k in left])):
+            out[k] = ids
+        return out
+
+    def _run(self, texts: pa.Array) -> pa.Array:
+        if len(self.stems) > self.STEMS:
+            self.stems.clear()
+        end = np.array([END], self.kind).tobytes()
+        whole = pc.match_substring_regex(texts, _UNPLAIN).to_numpy(zero_copy_only=False) if self.by_words else np.ones(len(texts), bool)
+        alone = np.flatnonzero(whole)
+        # A text encoded as a whole stands here as one empty word, whose code is its own entry.
+        cut = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        coded = cut.flatten().dictionary_encode()
+        at = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
+        codes = coded.indices.to_numpy().astype(np.int64)
+        firsts = coded.dictionary.take(pa.array(codes[at[:-1]])).dictionary_encode()
+        codes[at[:-1]] = len(coded.dictionary) + firsts.indices.to_numpy()
+        used = np.zeros(len(coded.dictionary), bool)
+        used[codes[codes < len(used)]] = True
+        entries = np.full(len(used), b"", object)
+        entries[used] = self._words(coded.dictionary.filter(pa.array(used)), " ")
+        own = self._raw(texts.take(pa.array(alone)).to_pylist())
+        codes[at[alone]] = len(used) + len(firsts.dictionary) + np.arange(len(alone))
+        table = pa.array([*entries.tolist(), *self._words(firsts.dictionary, ""), *own, end], pa.large_binary())
+        codes = np.insert(codes, at[1:], len(table) - 1)
+        taken = table.take(pa.array(codes))
+        places = np.frombuffer(taken.buffers()[1], np.int64)[: len(codes) + 1]
+        offsets = places[at + np.arange(len(at))]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets), taken.buffers()[2]])
+
+    def encode_column(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text, null as empty, with the end id behind them."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+        runs, a = [], 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(sizes, (sizes[a - 1] if a else 0) + self.RUN, side="right")))
+            runs.append(self._run(texts.slice(a, b - a)))
+            a = b
+        return pa.concat_arrays(runs) if runs else pa.array([], pa.large_binary())
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text, null as empty, with the end id behind them."""
-        end = np.array([END], self.kind).tobytes()
-        return [ids + end for k in range(0, len(texts), self.STEP) for ids in self._step([t or "" for t in texts[k : k + self.STEP]])]
+        """:meth:`encode_column` for a list."""
+        return self.encode_column(pa.array(texts, pa.large_string())).to_pylist()
 
 
 _workers: dict[str, Encoder] = {}
