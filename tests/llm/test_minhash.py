@@ -115,3 +115,13 @@ def test_id_filter_never_loses_one(spark):
     rows = spark.range(5000).select("id", some.place("id").alias("place")).toPandas()
     passed = set(rows["id"][some.passes(rows["place"].to_numpy())])
     assert set(range(0, 5000, 7)) <= passed < set(range(5000))
+
+
+def test_keep_returns_what_is_reported_as_kept(spark):
+    text = prose(3, 90)
+    rows = [(None, text, "a"), (None, text, "b"), (7, " ", "a"), (7, " ", "b"), (7, None, "c"), (8, text, "a"), (8, text, "b"), (9, text, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = sorted((r.doc_id is None, r.doc_id or 0, r.source) for r in minhash.keep(docs).collect())
+    # One of the two equal texts with id 8 stays, either one; what takes part in no link stays as it is.
+    assert [k[:2] for k in kept] == [(False, 7)] * 3 + [(False, 8)] + [(True, 0)] * 2
+    assert {k[2] for k in kept if k[1] == 7} == {"a", "b", "c"} and {k[2] for k in kept if k[0]} == {"a", "b"}

@@ -77,3 +77,13 @@ def test_without_labels_only_the_base_rule(spark, documents, no_documents):
     rows = quality.annotate(documents, None).collect()
     assert len(rows) == documents.count() and all(r.score is None and r.kept == (not r.base_failed) for r in rows)
     assert quality.annotate(no_documents, None).count() == 0 and quality.keep(documents, None).columns == documents.columns
+
+
+def test_repeated_ids_do_not_outweigh_other_labels(spark):
+    good = [(i, prose(i, 200)) for i in range(60)]
+    bad = [(i, " | ".join(["spam"] * 80)) for i in range(60, 120)]
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame(good + bad, "doc_id long, text string")
+    hot = spark.createDataFrame(good + bad + [(60, bad[0][1])] * 400, "doc_id long, text string").repartition(4)
+    scores = [{r.doc_id: r.score for r in quality.annotate(once, quality.fit(d, labels)).collect()} for d in (once, hot)]
+    assert scores[0] == scores[1]

@@ -226,11 +226,14 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def keep(documents: DataFrame) -> DataFrame:
-    """One document of each component, all columns unchanged: the rows with its smallest doc_id, equal rows once."""
+    """One document of each component, all columns unchanged: the rows with its smallest doc_id, rows with the same text and id once.
+
+    Rows that take part in no link, without a doc_id or without words, all stay.
+    """
     verdicts = materialize(_verdicts(documents))
     key = ["doc_id", "h"]
     dropped = verdicts.where("not kept").select(*key).distinct()
-    again = verdicts.where("kept").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
+    again = verdicts.where("kept and doc_id is not null and n_shingles > 0").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key)
     given, name = shielded(documents)
     keyed = given.withColumns({"doc_id": F.col(name["doc_id"]).cast("long"), "h": F.xxhash64(F.col(name["text"]))})
 
