@@ -25,6 +25,9 @@ _SETTLED = "\u0250"
 #: Marks that behind letters make one pre-token of their own; the apostrophe may begin an ending such as 's.
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
+#: Ids from which on a pre-token is not kept, so that the store is bounded by its entries.
+LONG_STEM = 256
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -51,7 +54,7 @@ class Encoder:
     """
 
     STEMS = 300_000
-    RUN = 8 << 20
+    RUN = 16 << 20
 
     def __init__(self, content: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -69,15 +72,18 @@ class Encoder:
         as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {n: "".join(p for p, _ in as_bytes.pre_tokenize_str(chr(n))) for n in range(ord(_SETTLED))}
         self.stems: dict[str, bytes] = {}
+        self.packs = [struct.Struct(f"<{n}{self.kind.char}").pack for n in range(LONG_STEM)]
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, stem: str) -> bytes:
-        """Ids of one pre-token of settled characters, kept."""
+        """Ids of one pre-token of settled characters, kept unless there are very many."""
         ids = [t.id for t in self.model.tokenize(stem.translate(self.shown))]
-        found = self.stems[stem] = struct.pack(f"<{len(ids)}{self.kind.char}", *ids)
-        return found
+        if (n := len(ids)) < LONG_STEM:
+            found = self.stems[stem] = self.packs[n](*ids)
+            return found
+        return np.array(ids, self.kind).tobytes()
 
     def _words(self, words: pa.Array, before: str) -> list[bytes]:
         """Ids of each word with ``before`` in front of it."""
