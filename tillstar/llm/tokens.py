@@ -153,6 +153,7 @@ def worker_encoder(content: str) -> Encoder:
     """The encoder of this Python worker, with what it has learned in earlier tasks; at most one is kept."""
     if content not in _workers:
         _workers.clear()
+        pa.default_memory_pool().release_unused()  # what other operators' tasks left in this worker
         _workers[content] = Encoder(content)
     return _workers[content]
 
