@@ -1,13 +1,23 @@
 import csv
+import datetime as dt
+import random
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from checks.etl import csv_files
 from tests.conftest import ROWS, changed
+from tillstar.operators import facts
+from tillstar.operators.dedup import first_per_key, remove_duplicates, row_order
 from tillstar.schemas import RAW, RAW_COLUMNS
+from tillstar.sources import commerce
 from tillstar.sources.records import _cut
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_landing_files_are_written_by_the_tasks_that_read(spark, tmp_path):
     rows = [changed(ROWS[k % 3], Row_ID=str(k), Product_Name=f'"A", {k}\nnext' if k % 2 else None, City="\r" if k == 4 else f"é {k}") for k in range(40)]
     csv_files(spark.createDataFrame(rows, RAW).repartition(5), str(tmp_path / "in"))
@@ -30,3 +40,48 @@ def test_lines_without_quotes_are_cut_without_looking_at_each(monkeypatch):
                                       ["path", "block", "value", "state", "owner"])
     out = [r for b in _cut(iter([rows])) for r in b.column("record").to_pylist()]
     assert sorted(out) == sorted(lines[1:]) and looked == [b'"q",x']
+
+
+def test_rows_without_duplicates_stay_where_they_are(spark):
+    rows = [changed(ROWS[k % 3], Row_ID=str(k), Order_ID=f"O{k // 2}") for k in range(30)]
+    unique = spark.createDataFrame(rows, RAW).repartition(3)
+    assert "Window" not in plan(remove_duplicates(unique))
+    twice = unique.unionByName(spark.createDataFrame([changed(r, Row_ID=str(99 - k)) for k, r in enumerate(rows[:10])], RAW))
+    null = spark.createDataFrame([changed(ROWS[0], Row_ID=str(k), Order_ID=None) for k in (200, 201)], RAW)
+    kept = remove_duplicates(twice.unionByName(null)).collect()
+    assert sorted(r["Row ID"] for r in kept) == sorted([*(str(k) for k in range(30)), "200"])
+
+
+def test_first_of_each_key_thinned_before_the_sort(spark, monkeypatch):
+    monkeypatch.setattr("tillstar.operators.dedup._HELD", 20)
+    draw = random.Random(5)
+    rows = [(draw.choice(["a", "b", None]), draw.choice([None, "x"]), draw.choice([str(draw.randrange(90)), f"r{k}", None]), k) for k in range(300)]
+    df = spark.createDataFrame(rows, "`Place` string, `Of` string, `Row ID` string, n int").repartition(3)
+    both = [first_per_key(df, ("Place", "Of"), [*row_order(df), (F.col("n"), True)], combine) for combine in (False, True)]
+    assert "MapInArrow" in plan(both[1])
+    plain, thinned = ({tuple(r) for r in b.collect()} for b in both)
+    assert plain == thinned and len(plain) == 6
+
+
+def test_customers_join_the_orders_and_not_the_lines(spark, tmp_path):
+    kinds = {"lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp",
+             "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string", "part": "p_partkey long, p_name string, p_type string, p_brand string, p_retailprice double",
+             "customer": "c_custkey long, c_name string, c_mktsegment string, c_nationkey long", "nation": "n_nationkey long, n_name string, n_regionkey long", "region": "r_regionkey long, r_name string"}
+    day = dt.datetime(1997, 3, 4)
+    rows = {"lineitem": [(1, 1, 1, 1, 2.0, 10.0, 0.1, day), (9, 1, 1, 1, 2.0, 10.0, 0.1, day)], "orders": [(1, 7, day, "1-URGENT")], "part": [(1, "pine", "T", "B", 3.0)],
+            "customer": [(7, "Nora", "S", 2)], "nation": [(2, "N", 3)], "region": [(3, "R")]}
+    for name, kind in kinds.items():
+        spark.createDataFrame(rows[name], kind).write.parquet(str(tmp_path / f"{name}.parquet"))
+    lines = commerce.raw_order_lines(spark, str(tmp_path))
+    assert [(r["Customer Name"], r["Region"], r["Sales"]) for r in lines.collect()] == [("Nora", "R", "10.00")]
+    joins = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    indent = {key: next(len(x) - len(x.lstrip(" :+-|")) for x in joins if "Join" in x and key in x) for key in ("o_orderkey", "c_custkey")}
+    assert indent["c_custkey"] > indent["o_orderkey"]  # below the join with the lines
+
+
+def test_a_load_stores_texts_of_rejected_lines_only(spark):
+    found = spark.createDataFrame([(None, "1", "O1", "C1", "Nora"), ("region", "2", "O2", "C2", "Ivo")], "reject_reason string, `Row ID` string, `Order ID` string, `Customer ID` string, `Customer Name` string")
+    kept = facts.kept_of(found)
+    assert kept.columns == ["reject_reason", "Row ID", "Order ID", "Customer ID"]
+    assert sorted(tuple(r) for r in kept.collect() if r[0] is None) == [(None, None, "O1", None)]
+    assert [tuple(r)[1:] for r in kept.where("reject_reason IS NOT NULL").collect()] == [("2", "O2", "C2")]
