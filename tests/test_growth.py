@@ -5,12 +5,13 @@ import random
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from checks import etl
 from checks.etl import csv_files
-from tests.conftest import ROWS, changed
+from tests.conftest import ROWS, changed, write_csv
 from tillstar.operators import facts
 from tillstar.operators.dedup import first_per_key, remove_duplicates, row_order
 from tillstar.schemas import RAW, RAW_COLUMNS
-from tillstar.sources import commerce
+from tillstar.sources import commerce, files
 from tillstar.sources.records import _cut
 
 
@@ -85,3 +86,32 @@ def test_a_load_stores_texts_of_rejected_lines_only(spark):
     assert kept.columns == ["reject_reason", "Row ID", "Order ID", "Customer ID"]
     assert sorted(tuple(r) for r in kept.collect() if r[0] is None) == [(None, None, "O1", None)]
     assert [tuple(r)[1:] for r in kept.where("reject_reason IS NOT NULL").collect()] == [("2", "O2", "C2")]
+
+
+def test_both_sets_of_lines_come_from_one_join(spark, tmp_path, monkeypatch):
+    asked = []
+    monkeypatch.setattr(commerce, "raw_order_lines", lambda s, d: asked.append(d) or spark.createDataFrame([changed(ROWS[0], Order_ID="1", Customer_ID="2", Product_ID="3")], RAW))
+    monkeypatch.setattr(etl, "intact", etl.stored("intact", lambda s, d: commerce.raw_order_lines(s, d)))
+    good, raw = etl.intact_silver(spark, str(tmp_path)).first(), etl.raw(spark, str(tmp_path)).first()
+    assert asked == [str(tmp_path)] and raw["Customer Name"] == " \tNora Lind  " and good["Customer Name"] == "Nora Lind"
+
+
+def test_lines_keep_their_order_without_a_sort(spark, tmp_path):
+    path = write_csv(tmp_path / "a.csv", [changed(r, Product_Name="two\nlines") for r in ROWS])
+    read = files.read_raw(spark, path)
+    assert "Sort" not in plan(read).replace("SortMergeJoin", "") and read.count() == 3
+
+
+def test_mixed_files_are_written_by_the_tasks_that_read(spark, tmp_path, monkeypatch):
+    rows = [changed(ROWS[k % 3], Row_ID=f"{k}-1") for k in range(40)]
+    monkeypatch.setattr(etl, "raw", lambda s, d: spark.createDataFrame(rows, RAW).repartition(5))
+    etl.mixed_files(spark, "", str(tmp_path / "in"), None)
+    assert len(list((tmp_path / "in").glob("part-*"))) == 10  # two of each encoding before, however many rows
+    got = files.read_raw(spark, str(tmp_path / "in"), null_words=("",))
+    assert sorted(r["Row ID"] for r in got.collect()) == sorted(r[0] for r in rows)
+
+
+def test_amounts_as_text(spark):
+    cents = [0, 5, -5, 99, -100, 123456, -98765432101, 999_999_999_999]
+    shown = spark.createDataFrame([(c,) for c in cents], "_sales long").select(commerce._cents_text("_sales"), commerce._money("_sales").cast("string"))
+    assert all(a == b for a, b in shown.collect()) and shown.where("_sales IS NULL").count() == 0
