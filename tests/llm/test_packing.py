@@ -39,6 +39,18 @@ def test_program_beats_best_fit_where_best_fit_is_wrong():
     assert used[0] <= used[1] and used[0] <= 1.01 * (counts * np.arange(41)).sum() / 40
 
 
+def test_program_places_the_pieces_where_best_fit_is_good():
+    # lengths of documents: many different ones, with which best fit comes near the bound at once
+    rng = np.random.default_rng(11)
+    counts = np.bincount(np.minimum(2047, 1 + rng.lognormal(6, 1, 20_000).astype(int)), minlength=2049)
+    program, plain = packing.solve(counts), packing.best_fit(counts)
+    patterns, rest, bound = packing.rounds(counts, 2048, *packing.RATES[0])
+    assert (held(program, 2048) == counts).all() and (held(patterns, 2048) + rest == counts).all()
+    assert set(patterns) <= set(program) and rest.sum() < 0.1 * counts.sum()
+    used = sum(k for _, k in program)
+    assert bound <= used <= sum(k for _, k in plain)
+
+
 def test_knapsack_is_exact():
     rng = np.random.default_rng(3)
     for _ in range(20):

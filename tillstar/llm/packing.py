@@ -1,10 +1,11 @@
 """Best-fit packing by the configuration linear program over the histogram of lengths.
 
 A configuration says how many pieces of each length share a sequence. The program, fewest sequences that hold
-all pieces, starts from the columns of best fit and is solved by multiplicative weights: a length's weight falls as it gets covered,
-and a knapsack over the capacity prices the best configuration. Each price also gives a bound from below; a start that is
-within ``GAP`` of it stays. Else the counts of the rounds are rounded down, and what the rounding leaves is packed best fit in order
-of falling length, over groups of equal sequences.
+all pieces, is solved by multiplicative weights: a length's weight falls as it gets covered, a knapsack over the capacity prices the best
+configuration for each open length, and those near the best of all are taken as whole sequences. Each price also gives a bound from below; where
+the first weights end further than ``GAP`` above it, steeper ones in smaller steps follow, and the fewest sequences count. Only what no priced
+configuration takes is packed best fit in order of falling length, over groups of equal sequences. Best fit of all pieces is a solution of
+the program too, and stands in where the rounds end with more sequences.
 All of it works on the histogram (at most ``CAPACITY`` lengths), so the driver's share does not grow with the data, and the resulting
 table has at most a few thousand patterns. Pieces take their places by their rank within their length.
 
@@ -29,13 +30,17 @@ from tillstar.session import materialize
 CAPACITY = 2048
 #: Share of sequences above the program's bound at which it counts as solved.
 GAP = 0.001
+#: Share of the best configuration's value from which one is taken at the same price.
+NEAR = 0.99
+#: How steeply a covered length's weight falls, and the share of a length that one step may cover.
+RATES = ((0.05, 1.0), (5.0, 0.03))
 #: Rows of an Arrow batch that are cut into pieces at a time; a batch's texts, ids and pieces at once would be several times its size.
 ROWS = 2000
 Pattern = tuple[tuple[tuple[int, int], ...], int]  # ((length, how many), ...), how many sequences
 
 
-def best_configuration(weight: np.ndarray, capacity: int) -> np.ndarray:
-    """Copies per length (index: length) of the most valuable configuration; unbounded knapsack."""
+def knapsack(weight: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Value of the best configuration per room, and a length in it (0: as with less room); unbounded."""
     lengths = np.flatnonzero(weight > 0)
     value, choice = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     w = weight[lengths]
@@ -47,55 +52,75 @@ def best_configuration(weight: np.ndarray, capacity: int) -> np.ndarray:
             value[c], choice[c] = options[best], lengths[best]
         else:
             value[c] = value[c - 1]
+    return value, choice
+
+
+def filled(choice: np.ndarray, room: int) -> dict[int, int]:
+    """Copies per length of the best configuration of ``room``."""
+    taken: dict[int, int] = {}
+    while room > 0:
+        length = int(choice[room])
+        if length:
+            taken[length] = taken.get(length, 0) + 1
+        room -= length or 1
+    return taken
+
+
+def best_configuration(weight: np.ndarray, capacity: int) -> np.ndarray:
+    """Copies per length (index: length) of the most valuable configuration; unbounded knapsack."""
     taken = np.zeros(capacity + 1, np.int64)
-    c = capacity
-    while c > 0:
-        if choice[c]:
-            taken[choice[c]] += 1
-            c -= int(choice[c])
-        else:
-            c -= 1
+    for length, many in filled(knapsack(weight, capacity)[1], capacity).items():
+        taken[length] = many
     return taken
 
 
-def solve(counts: np.ndarray, capacity: int = CAPACITY, gap: float = GAP, rate: float = 0.5) -> list[Pattern]:
-    """Patterns that hold exactly ``counts`` (index: length) pieces.
+def rounds(counts: np.ndarray, capacity: int, rate: float, share: float) -> tuple[list[Pattern], np.ndarray, float]:
+    """Patterns of priced configurations, the pieces they leave, and the bound of the prices.
 
-    The program starts from the columns of best fit. Every price is a dual solution, so the open lengths' weights over the best
-    configuration's value bound all packings from below; rounds go on until the packing at hand is within ``gap`` of that bound
-    or all lengths are covered. A round covers at least one length in full, so there are at most ``capacity`` of them.
+    Every price is a dual solution, so the pieces' weights over the best configuration's value bound all packings from below. Per price each open length
+    gets the best configuration that holds it; where that is worth ``NEAR`` the best of all, it is taken as often as pieces are left, and no
+    more than ``share`` of a length at a time. Of equal fillings the one with the longer pieces comes first. Rounds end when none can be taken whole.
     """
-    left = counts.astype(np.int64).copy()
-    alone = int(left[capacity])
-    left[capacity] = 0
-    start = best_fit(left, capacity)
-    used, bound = sum(count for _, count in start), 0.0
-    n = np.maximum(left, 1)
-    open_, size = left.astype(float), np.arange(capacity + 1) / capacity
-    shares: dict[tuple, float] = {}
-    while open_.any():
-        price = np.where(open_ > 0, size * np.exp(-rate * (1 - open_ / n)), 0)
-        taken = best_configuration(price, capacity)
-        bound = max(bound, float(price @ left) / float(price @ taken))
-        if used <= max(np.ceil(bound - 1e-6), bound * (1 + gap)):
-            return _with_alone(start, alone, capacity)
-        held = np.flatnonzero(taken)
-        by = (open_[held] / taken[held]).min()
-        open_[held] -= by * taken[held]
-        open_[open_ < 1e-9] = 0
-        key = tuple((int(k), int(taken[k])) for k in held[::-1])
-        shares[key] = shares.get(key, 0.0) + by
-    patterns: list[Pattern] = []
-    rest = left.copy()
-    for key, by in shares.items():
-        whole = min(int(by + 1e-9), *(int(rest[k] // m) for k, m in key))
-        if whole:
-            patterns.append((key, whole))
-            for k, m in key:
-                rest[k] -= whole * m
-    patterns += best_fit(rest, capacity)
-    # The columns of the start are a solution too; the rounding replaces it only where it needs fewer sequences.
-    return _with_alone(patterns if sum(count for _, count in patterns) < used else start, alone, capacity)
+    n, left, size = np.maximum(counts, 1), counts.astype(np.int64).copy(), np.arange(capacity + 1) / capacity
+    made: dict[tuple, int] = {}
+    bound, moved = 0.0, True
+    while moved and left.any():
+        moved = False
+        price = np.where(left > 0, size * np.exp(-rate * (1 - left / n)) * (1 + 0.1 * size / capacity), 0)
+        value, choice = knapsack(price, capacity)
+        bound = max(bound, float(price @ counts) / float(value[capacity]))
+        lengths = np.flatnonzero(left)
+        for length in lengths[price[lengths] + value[capacity - lengths] >= NEAR * value[capacity]][::-1].tolist():
+            taken = filled(choice, capacity - length)
+            taken[length] = taken.get(length, 0) + 1
+            whole = min(min(int(left[k]) // m, max(1, int(n[k] * share) // m)) for k, m in taken.items())
+            if whole:
+                moved = True
+                key = tuple(sorted(taken.items(), reverse=True))
+                made[key] = made.get(key, 0) + whole
+                for k, m in key:
+                    left[k] -= whole * m
+    return list(made.items()), left, bound
+
+
+def solve(counts: np.ndarray, capacity: int = CAPACITY, gap: float = GAP) -> list[Pattern]:
+    """Patterns that hold exactly ``counts`` (index: length) pieces."""
+    open_ = counts.astype(np.int64).copy()
+    alone = int(open_[capacity])
+    open_[capacity] = 0
+    found, bound = [], 0.0
+    for rate, share in RATES:
+        patterns, rest, below = rounds(open_, capacity, rate, share)
+        found.append(patterns + best_fit(rest, capacity))
+        bound = max(bound, below)
+        if _sequences(found[-1]) <= max(np.ceil(bound - 1e-6), bound * (1 + gap)):
+            break
+    # The first of the fewest: best fit of all pieces comes last, so it counts only where the rounds need more.
+    return _with_alone(min([*found, best_fit(open_, capacity)], key=_sequences), alone, capacity)
+
+
+def _sequences(patterns: list[Pattern]) -> int:
+    return sum(count for _, count in patterns)
 
 
 def _with_alone(patterns: list[Pattern], alone: int, capacity: int) -> list[Pattern]:
