@@ -104,6 +104,37 @@ def test_rejects_and_fallback(spark, loaded):
         facts.resolve_keys(silver(spark), tables, "sometimes")
 
 
+def lost_lines():
+    return [ROWS[1], changed(ROWS[0], Row_ID="12", Order_ID="N2", City="Paris"), changed(ROWS[0], Row_ID="13", Order_ID="N3", Customer_ID="who"),
+            changed(ROWS[0], Row_ID="14", Order_ID="N4", Product_ID="what"), changed(ROWS[0], Row_ID="15", Order_ID="N5", Category="Garden"),
+            changed(ROWS[0], Row_ID="16", Order_ID="N6", Ship_Date="2030-01-01"), changed(ROWS[2], Row_ID="17", Order_ID="N7")]
+
+
+@pytest.mark.parametrize("resolve", ["current", "as_of"])
+def test_thin_lines_give_the_same_facts_and_rejects(spark, loaded, resolve):
+    tables = loaded[0].tables()
+    # two lines more whose product and customer are missing altogether
+    nulls = silver(spark, ROWS[:1]).withColumns({"Order ID": F.lit("N8"), "Product ID": F.lit(None).cast("string")}).unionByName(
+        silver(spark, ROWS[:1]).withColumns({"Order ID": F.lit("N9"), "Customer ID": F.lit(None).cast("string")}))
+    batch = silver(spark, lost_lines()).unionByName(nulls)
+    whole, thin = (facts.kept_of(facts.resolve_keys(batch, tables, resolve, thin=t)) for t in (False, True))
+    shown = [c for c in whole.columns if c not in ("created_at", "updated_at")]
+    assert sorted(map(repr, whole.select(shown).collect())) == sorted(map(repr, thin.select(shown).collect()))
+    assert whole.where("reject_reason IS NOT NULL").count() == 7
+    lines = facts.resolve_keys(batch, tables, resolve, thin=True).collect()
+    assert {r["Order ID"] for r in lines if r["Row ID"] is None} == {r["Order ID"] for r in lines if r.reject_reason is None}
+
+
+def test_facts_are_compared_only_where_some_are_loaded(spark, store, monkeypatch):
+    asked = []
+    compare = facts.without_loaded
+    monkeypatch.setattr(facts, "without_loaded", lambda rows, known: asked.append(1) or compare(rows, known))
+    assert load_all(store, silver(spark), idempotent=True)[FACTS] == 3 and not asked
+    assert load_all(store, silver(spark), idempotent=True)[FACTS] == 0 and asked
+    later = changed(ROWS[0], Row_ID="21", Order_ID="N1", Order_Date="2023-02-01", Ship_Date="2023-02-03")
+    assert load_all(store, silver(spark, [later]), idempotent=True)[FACTS] == 1 and len(asked) == 1
+
+
 def test_as_of_resolution(spark, loaded):
     tables = dict(loaded[0].tables())
     tables["dim_customer"] = spark.createDataFrame(
