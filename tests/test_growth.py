@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import etl
 from checks.etl import csv_files
 from tests.conftest import ROWS, changed, write_csv
-from tillstar.operators import facts
+from tillstar.operators import dedup, facts
 from tillstar.operators.dedup import first_per_key, remove_duplicates, row_order
 from tillstar.schemas import RAW, RAW_COLUMNS
 from tillstar.sources import commerce, files
@@ -53,6 +53,22 @@ def test_rows_without_duplicates_stay_where_they_are(spark):
     assert sorted(r["Row ID"] for r in kept) == sorted([*(str(k) for k in range(30)), "200"])
 
 
+def test_few_bits_of_a_key_are_shuffled_and_none_is_taken_for_another(spark, monkeypatch):
+    counted, store = [], dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df: counted.append(store(df)) or counted[-1])
+    rows = [changed(ROWS[k % 3], Row_ID=str(k), Order_ID=None if k % 7 == 0 else f"O{k % 20}", Product_ID=f"P{k % 4}") for k in range(60)]
+    lines = spark.createDataFrame(rows, RAW).repartition(3)
+    firsts = {}
+    for row in rows:  # in the order of their ids
+        firsts.setdefault((row[RAW_COLUMNS.index("Order ID")], row[RAW_COLUMNS.index("Product ID")]), row[0])
+    assert sorted(r["Row ID"] for r in remove_duplicates(lines).collect()) == sorted(firsts.values())
+    hashes = [r[0] for r in counted[0].collect()]
+    assert len(hashes) > 10 and all(0 <= h < 1 << 40 for h in hashes)  # of 64 bits before
+    monkeypatch.setattr(dedup, "_KEY_BITS", 2)  # now different keys share their bits
+    assert sorted(r["Row ID"] for r in remove_duplicates(lines).collect()) == sorted(firsts.values())
+    assert len(counted[1].collect()) <= 4
+
+
 def test_first_of_each_key_thinned_before_the_sort(spark, monkeypatch):
     monkeypatch.setattr("tillstar.operators.dedup._HELD", 20)
     draw = random.Random(5)
@@ -80,6 +96,23 @@ def test_customers_join_the_orders_and_not_the_lines(spark, tmp_path):
     assert indent["c_custkey"] > indent["o_orderkey"]  # below the join with the lines
 
 
+def test_names_of_nations_and_regions_are_not_shuffled_with_the_orders(spark, tmp_path):
+    day = dt.datetime(1997, 3, 4)
+    tables = {"lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp",
+                           [(order, 1, 1, 1, 2.0, 10.0, 0.1, day) for order in (1, 2, 3, 4, None)]),
+              "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string", [(k, k + 6, day, "1-URGENT") for k in (1, 2, 3)]),
+              "part": ("p_partkey long, p_name string, p_type string, p_brand string, p_retailprice double", [(1, "pine", "T", "B", 3.0)]),
+              "customer": ("c_custkey long, c_name string, c_mktsegment string, c_nationkey long", [(7, "Nora", "S", 2), (8, "Ivo", "S", None), (9, "Ada", "S", 4)]),
+              "nation": ("n_nationkey long, n_name string, n_regionkey long", [(2, "N", 3), (2, "N", 3), (4, "M", 5)]), "region": ("r_regionkey long, r_name string", [(3, "R")])}
+    for name, (kind, rows) in tables.items():
+        spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / f"{name}.parquet"))
+    lines = commerce.raw_order_lines(spark, str(tmp_path))
+    assert [(r["Customer Name"], r["Country"], r["Region"]) for r in lines.collect()] == [("Nora", "N", "R")] * 2
+    joins = lines._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    indent = {key: next(len(x) - len(x.lstrip(" :+-|")) for x in joins if "Join" in x and key in x) for key in ("o_orderkey", "n_nationkey", "r_regionkey")}
+    assert max(indent["n_nationkey"], indent["r_regionkey"]) < indent["o_orderkey"]  # above the join with the lines
+
+
 def test_a_load_stores_texts_of_rejected_lines_only(spark):
     found = spark.createDataFrame([(None, "1", "O1", "C1", "Nora"), ("region", "2", "O2", "C2", "Ivo")], "reject_reason string, `Row ID` string, `Order ID` string, `Customer ID` string, `Customer Name` string")
     kept = facts.kept_of(found)
