@@ -61,6 +61,19 @@ def test_exact_duplicates_in_chunks(spark, monkeypatch):
     assert {(r.k, r.n, r.d) for r in out} == {("hot", 11, 10), ("b", 2, 1), ("c", 1, 0)}
 
 
+def test_only_rows_that_occur_again_are_shuffled_to_flag_them(spark, monkeypatch):
+    written, store = [], dedup.materialize
+    monkeypatch.setattr(dedup, "materialize", lambda df: written.append(store(df)) or written[-1])
+    rows = [changed(ROWS[k % 3], Row_ID=str(k), City=None if k % 4 else "") for k in range(30)]
+    alone = dedup.flag_exact_duplicates(spark.createDataFrame(rows, RAW).repartition(3), "dup", stored=True)
+    assert alone.filter("NOT dup").count() == 30 and len(written) == 1  # the hashes that repeat, and no copy of the rows
+    written.clear()
+    twice = spark.createDataFrame([*rows, *rows[:2], rows[0]], RAW)
+    out = dedup.flag_exact_duplicates(twice, "dup", stored=True)
+    assert [written[0].count(), written[1].count(), written[2].count()] == [2, 2, 33]
+    assert sorted((r["Row ID"], r.dup) for r in out.collect()) == sorted([(str(k), False) for k in range(30)] + [("0", True), ("0", True), ("1", True)])
+
+
 def test_features(raw):
     rows = features.engineer_features(clean.fix_data_types(raw)).orderBy("Row ID").collect()
     assert [r.Revenue for r in rows[:2]] == [Decimal("250.00"), Decimal("108.00")]
