@@ -148,3 +148,24 @@ def test_amounts_as_text(spark):
     cents = [0, 5, -5, 99, -100, 123456, -98765432101, 999_999_999_999]
     shown = spark.createDataFrame([(c,) for c in cents], "_sales long").select(commerce._cents_text("_sales"), commerce._money("_sales").cast("string"))
     assert all(a == b for a, b in shown.collect()) and shown.where("_sales IS NULL").count() == 0
+
+
+def test_a_landing_of_large_tables_is_written_without_a_stored_copy(spark, tmp_path, monkeypatch):
+    day = dt.datetime(1997, 3, 4)
+    for name, schema, rows in (
+        ("lineitem", "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_shipdate timestamp",
+         [(k // 3, k % 5, 1, k % 3, 2.0, 10.5 + k, 0.05, day) for k in range(30)]),
+        ("orders", "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp, o_orderpriority string", [(k, k % 4, day, "1-URGENT") for k in range(10)]),
+        ("customer", "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string", [(k, f"C{k}", 1, "AUTO") for k in range(4)]),
+        ("part", "p_partkey bigint, p_name string, p_brand string, p_type string, p_retailprice double", [(k, f'"P", {k}', "B", "T", 3.5) for k in range(5)]),
+        ("nation", "n_nationkey int, n_name string, n_regionkey int", [(1, "N", 1)]), ("region", "r_regionkey int, r_name string", [(1, "R")]),
+    ):
+        spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    folder = str(tmp_path)
+    monkeypatch.setattr(etl, "FEW_BYTES", 0)
+    monkeypatch.setattr(etl, "_STORED", {})
+    csv_files(etl.raw_once(spark, folder), str(tmp_path / "in"))
+    assert not etl._STORED
+    got = files.read_raw(spark, str(tmp_path / "in"), null_words=("",)).select(*RAW_COLUMNS).collect()
+    assert sorted(map(str, got)) == sorted(map(str, etl.raw(spark, folder).collect())) and len(got) == 30
+    assert etl._STORED and "Join" not in plan(etl.raw_once(spark, folder))  # at hand now
