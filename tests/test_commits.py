@@ -11,7 +11,7 @@ from tillstar.plans import load as loading
 from tillstar.plans import analytics, summaries
 from tillstar.plans.load import load_all
 from tillstar.plans.star import WarehouseStar
-from tillstar.schemas import CUSTOMER_HISTORY, FACTS, REJECTS, TABLES
+from tillstar.schemas import CUSTOMER_HISTORY, FACTS, RAW, REJECTS, STAGING_CLEAN, STAGING_RAW, TABLES
 from tillstar.sources.store import Conflict, Store, table_counts
 
 LATER = [changed(ROWS[0], Row_ID="21", Order_ID="L1", Order_Date="2023-02-01", Ship_Date="2023-02-03", Customer_ID="NEW-1", Customer_Name="Una New", City="Reno"),
@@ -206,3 +206,12 @@ def test_orders_and_customers_without_expand(spark, tmp_path):
     assert "Expand" not in kpi._jdf.queryExecution().optimizedPlan().toString()
     estimate = summaries.distinct_estimates(summaries.distinct_sketches(WarehouseStar(store.tables()))).first()
     assert tuple(estimate) == (4, 3)
+
+
+def test_stored_rows_are_packed_tightly(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "w"))
+    store.create_tables()
+    load_all(store, silver(spark))
+    loading.stage(store, spark.createDataFrame(ROWS, RAW), silver(spark))
+    for table in (FACTS, STAGING_RAW, STAGING_CLEAN):
+        assert all(f.endswith(".zstd.parquet") for f in store.read(table).inputFiles()) and store.read(table).count() == 3
